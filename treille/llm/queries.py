@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from treille.llm import unicode_forms
+from treille.llm import cooccur, set_join, unicode_forms
 
 QUERIES = {
     "p1_found": unicode_forms.found,
+    "p3_found": set_join.found,
+    "p5_found": cooccur.found,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "p3_found": set_join.FOUND_SQL,
+    "p5_found": cooccur.FOUND_SQL,
+}

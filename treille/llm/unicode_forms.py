@@ -106,7 +106,7 @@ def decomposition_rows() -> list[tuple[str, list[tuple[str, int]]]]:
     for cp in range(0x80, 0x110000):
         ch = chr(cp)
         kind = unicodedata.category(ch)
-        if kind in ("Cn", "Co", "Cs"):
+        if kind in ("Cn", "Co", "Cs") or 0xAC00 <= cp <= 0xD7A3:  # Hangul syllables are recomposed by rule
             continue
         if _invisible(cp):
             rows.append((ch, []))
