@@ -30,3 +30,10 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least twice as many partitions as there are cores, for steps whose work is in Python and not in bytes."""
+    spark = df.sparkSession
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.repartition(parts)
