@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from treille.llm import cooccur, language_mix, set_join, unicode_forms
+from treille.llm import canonical_map, cooccur, language_mix, set_join, unicode_forms
 
 QUERIES = {
     "p1_found": unicode_forms.found,
     "p3_found": set_join.found,
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,
+    "p6_found": canonical_map.found,
 }
 
 ORACLE = {
