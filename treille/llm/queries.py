@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treille.llm import canonical_map, cooccur, language_mix, set_join, unicode_forms
+from treille.llm import canonical_map, cooccur, language_mix, sentences, set_join, unicode_forms
 
 QUERIES = {
     "p1_found": unicode_forms.found,
@@ -10,6 +10,7 @@ QUERIES = {
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,
     "p6_found": canonical_map.found,
+    "p9_found": sentences.found,
 }
 
 ORACLE = {
