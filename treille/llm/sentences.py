@@ -251,7 +251,10 @@ def _ends(part: str, lang: str, know: Boundaries) -> list[int]:
             continue
         own = marks[-1] in OWN_ENDS
         if j < len(part) and not part[j].isspace() and not own:
-            continue
+            # a lost blank: a word of small letters, the mark, then a capitalised word
+            before = part[max(0, m.start() - 2) : m.start()]
+            if not (part[j].isupper() and part[j + 1 : j + 2].islower() and (before.isalpha() and before.islower() or before[-1:] == "%")):
+                continue
         ahead = _head(part, j)
         kind = _class(ahead)
         if kind == "E" or (own and "…" not in marks):
