@@ -75,9 +75,10 @@ class LanguageModel:
     langs: list[str]
     table: np.ndarray  # float32 [2**BITS, languages]: log-likelihood ratio against the mean over languages
     cache: dict[str, np.ndarray] = field(default_factory=dict)
+    raw: dict[str, np.ndarray] = field(default_factory=dict)  # by the word as written
 
     def __getstate__(self):
-        return {"langs": self.langs, "table": self.table, "cache": {}}
+        return {"langs": self.langs, "table": self.table, "cache": {}, "raw": {}}
 
     def word(self, word: str) -> np.ndarray:
         got = self.cache.get(word)
@@ -94,6 +95,20 @@ class LanguageModel:
                 self.cache[word] = got
         return got
 
+    def best(self, text: str) -> str:
+        """The likeliest single language of a text; the first one for a text without words."""
+        total = None
+        for w in WORD.findall(text):
+            got = self.raw.get(w)
+            if got is None:
+                got = self.word(fold(w)) if fold(w) else np.zeros(len(self.langs))
+                if len(w) <= 24:
+                    if len(self.raw) > 300_000:
+                        self.raw.clear()
+                    self.raw[w] = got
+            total = got if total is None else total + got
+        return self.langs[int(total.argmax())] if total is not None else self.langs[0]
+
     def clauses(self, text: str) -> list[tuple[int, int, int, np.ndarray]]:
         """(start, end, words, log-likelihoods) of the clauses that have a word."""
         found, start = [], 0

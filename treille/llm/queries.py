@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from treille.llm import canonical_map, cooccur, language_mix, sentences, set_join, unicode_forms
+from treille.llm import canonical_map, cooccur, language_mix, scan_repair, sentences, set_join, unicode_forms
 
 QUERIES = {
     "p1_found": unicode_forms.found,
+    "p2_found": scan_repair.found,
     "p3_found": set_join.found,
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,

@@ -73,17 +73,12 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
     yield start, len(text)
 
 
-def _language(model: LanguageModel, text: str) -> str:
-    score = sum((c[3] for c in model.clauses(text)), start=model.table[0] * 0)
-    return model.langs[int(score.argmax())]
-
-
 def _observe(model: LanguageModel, text: str, seen: Counter) -> None:
     for a, b in paragraphs(text):
         part = text[a:b]
         if not part.strip():
             continue
-        lang = _language(model, part)
+        lang = model.best(part)
         if lang in ("zh", "ja", "th"):
             continue
         listed = bool(BULLET_OR_NUMBER.match(part))
@@ -252,8 +247,11 @@ def _ends(part: str, lang: str, know: Boundaries) -> list[int]:
         own = marks[-1] in OWN_ENDS
         if j < len(part) and not part[j].isspace() and not own:
             # a lost blank: a word of small letters, the mark, then a capitalised word
-            before = part[max(0, m.start() - 2) : m.start()]
-            if not (part[j].isupper() and part[j + 1 : j + 2].islower() and (before.isalpha() and before.islower() or before[-1:] == "%")):
+            before = TOKEN.findall(part[max(0, m.start() - 40) : m.start()])[-1:] or [""]
+            opened = _type((TOKEN.findall(part[j : j + 40]) or [""])[0].rstrip("."))[0]
+            word = before[0].lstrip(STRIP_LEFT)
+            whole = len(word) > 1 and word[-1:].islower() or word.endswith("%")
+            if not (marks == "." and part[j].isupper() and whole and "." not in word and (part[j + 1 : j + 2].islower() or (lang, opened) in know.starters)):
                 continue
         ahead = _head(part, j)
         kind = _class(ahead)
@@ -292,7 +290,7 @@ def split(text: str, model: LanguageModel, know: Boundaries) -> list[int]:
         part = text[a:b]
         if not part.strip():
             continue
-        lang = _language(model, part)
+        lang = model.best(part)
         start = 0
         for end in [*_ends(part, lang, know), len(part)]:
             body = part[start:end].rstrip()
