@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treille.llm import canonical_map, cooccur, language_mix, scan_repair, sentences, set_join, unicode_forms
+from treille.llm import canonical_map, cooccur, language_mix, mixing, packing, scan_repair, sentences, set_join, unicode_forms
 
 QUERIES = {
     "p1_found": unicode_forms.found,
@@ -11,6 +11,10 @@ QUERIES = {
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,
     "p6_found": canonical_map.found,
+    "p7_packed": packing.packed,
+    "p7_unused": packing.unused,
+    "p8_mixture": mixing.chosen,
+    "p8_shares": mixing.shares,
     "p9_found": sentences.found,
 }
 
