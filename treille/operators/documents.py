@@ -148,9 +148,12 @@ def tag_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str, m
     Words are runs of ASCII letters in lower case. Every n-gram of a text is joined to the
     dictionary by equality; of overlapping hits the leftmost, then the longest is kept.
     """
-    words = df.select(key, F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), F.lit(1)).alias("w"))
-    at = words.select(key, "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i")).where("size(w) > 0")
-    grams = at.select(key, "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.size("w") - F.col("i") + 1))).alias("n"), "w").select(key, "i", "n", F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("g"))
+    words = df.select(key, F.posexplode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), F.lit(1))).alias("p", "w"))
+    at = Window.partitionBy(key).orderBy("p")
+    nexts = [F.col("w"), *[F.lead("w", k).over(at) for k in range(1, most)]]
+    words = words.select(key, (F.col("p") + 1).alias("i"), *[c.alias(f"w{k}") for k, c in enumerate(nexts)])
+    gram = [F.when(F.col(f"w{n - 1}").isNotNull(), F.struct(F.lit(n).alias("n"), F.concat_ws(" ", *[f"w{k}" for k in range(n)]).alias("g"))) for n in range(1, most + 1)]
+    grams = words.select(key, "i", F.explode(F.array_compact(F.array(*gram))).alias("x")).select(key, "i", "x.n", "x.g")
     hits = grams.join(terms.select(F.col(term).alias("g")).distinct(), "g")
     got = hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", (-F.col("n")).alias("neg"), "g"))).alias("h"))
     zero = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<i:int,g:string>>").alias("kept"))

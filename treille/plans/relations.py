@@ -232,14 +232,14 @@ def haversine_pairs(t):
 
 
 @query("""
-WITH b AS (SELECT p_partkey id, p_partkey * 37 % 5000 minx, p_partkey * 61 % 5000 miny, p_partkey * 37 % 5000 + p_size maxx, p_partkey * 61 % 5000 + p_size maxy, p_size * p_size ar FROM part),
+WITH b AS (SELECT p_partkey id, p_partkey * 37 % 500 minx, p_partkey * 61 % 500 miny, p_partkey * 37 % 500 + p_size maxx, p_partkey * 61 % 500 + p_size maxy, p_size * p_size ar FROM part),
 j AS (SELECT a.id a, b.id b, (least(a.maxx, b.maxx) - greatest(a.minx, b.minx)) * (least(a.maxy, b.maxy) - greatest(a.miny, b.miny)) shared, least(a.ar, b.ar) lo
   FROM b a JOIN b ON a.id < b.id AND a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy)
 SELECT a, b, CAST(shared AS BIGINT) AS shared, CASE WHEN shared * 10 >= lo * 9 THEN 'nested' WHEN shared * 10 >= lo THEN 'partial' ELSE 'sliver' END AS class FROM j
 """)
 def overlap_classify(t):
     """Overlapping boxes by a grid join, classed by the shared part of the smaller."""
-    x, y = F.col("p_partkey") * 37 % 5000, F.col("p_partkey") * 61 % 5000
+    x, y = F.col("p_partkey") * 37 % 500, F.col("p_partkey") * 61 % 500
     boxes = t("part").select(F.col("p_partkey").alias("id"), x.alias("minx"), y.alias("miny"), (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size")).alias("maxy"))
     hit = geo.box_overlaps(boxes, "id", 50)
     share = F.when(F.col("shared") * 10 >= F.least("area_a", "area_b") * 9, "nested").when(F.col("shared") * 10 >= F.least("area_a", "area_b"), "partial").otherwise("sliver")

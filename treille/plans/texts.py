@@ -116,8 +116,10 @@ def stale_job_enumeration(t):
 
 @query("""
 WITH g AS (SELECT lower(name) term FROM gi_register WHERE regexp_matches(lower(name), '^[a-z]+( [a-z]+){0,2}$')),
-w AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]+)', 1) w FROM documents WHERE text IS NOT NULL), i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) i FROM w),
-h AS (SELECT doc_id, term, i, len(string_split(term, ' ')) n FROM i JOIN g ON term = w[i] OR term = array_to_string(w[i:i+1], ' ') OR term = array_to_string(w[i:i+2], ' ') WHERE i + len(string_split(term, ' ')) - 1 <= len(w)),
+w AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]+)', 1) w FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, unnest(w) x, generate_subscripts(w, 1) i FROM w),
+l AS (SELECT doc_id, i, x, lead(x) OVER d x2, lead(x, 2) OVER d x3 FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT doc_id, i, x t, 1 n FROM l UNION ALL SELECT doc_id, i, x || ' ' || x2, 2 FROM l WHERE x2 IS NOT NULL UNION ALL SELECT doc_id, i, x || ' ' || x2 || ' ' || x3, 3 FROM l WHERE x3 IS NOT NULL),
+h AS (SELECT doc_id, term, i, n FROM m JOIN (SELECT DISTINCT term FROM g) ON term = t),
 b AS (SELECT doc_id, i, arg_max(term, n) term, max(n) n FROM h GROUP BY 1, 2),
 r AS (SELECT *, max(i + n) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) e FROM b)
 SELECT doc_id, term, CAST(i AS INTEGER) AS pos FROM r WHERE e IS NULL OR i >= e
