@@ -120,8 +120,8 @@ def contiguous(df: DataFrame, key: str, order: str, number: str) -> DataFrame:
     got = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(number).alias("n")))).alias("h"))
     start = F.struct(F.lit(0).alias("last"), F.array().cast("array<int>").alias("taken"))
     step = lambda s, x: F.when(x["n"] == s["last"] + 1, F.struct(x["n"].alias("last"), F.concat(s["taken"], F.array(x["o"])).alias("taken"))).otherwise(s)
-    chain = got.withColumn("c", F.aggregate("h", start, step)["taken"])
-    return chain.select(key, F.explode("c").alias(order)).join(df, [key, order])
+    chain = got.withColumn("_chain", F.aggregate("h", start, step)["taken"])
+    return chain.select(key, F.explode("_chain").alias(order)).join(df, [key, order])
 
 
 def route(titles: DataFrame, key: str, title: str, order: str, keywords: DataFrame) -> DataFrame:
@@ -138,8 +138,8 @@ def without_overlaps(spans: DataFrame, key: str) -> DataFrame:
     got = spans.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
     zero = F.struct(F.lit(-1).cast("bigint").alias("upto"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("kept"))
     step = lambda a, x: F.when(x["start"] >= a["upto"], F.struct(x["end"].alias("upto"), F.concat(a["kept"], F.array(x)).alias("kept"))).otherwise(a)
-    kept = got.select(key, F.explode(F.aggregate(F.transform("s", lambda x: F.struct(x["start"].cast("bigint").alias("start"), x["end"].cast("bigint").alias("end"))), zero, step)["kept"]).alias("k"))
-    return kept.select(key, "k.start", "k.end")
+    kept = got.select(key, F.explode(F.aggregate(F.transform("s", lambda x: F.struct(x["start"].cast("bigint").alias("start"), x["end"].cast("bigint").alias("end"))), zero, step)["kept"]).alias("_kept"))
+    return kept.select(key, "_kept.start", "_kept.end")
 
 
 def tag_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str, most: int = 5) -> DataFrame:
@@ -158,7 +158,7 @@ def tag_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str, m
     got = hits.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", (-F.col("n")).alias("neg"), "g"))).alias("h"))
     zero = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<i:int,g:string>>").alias("kept"))
     step = lambda a, x: F.when(x["i"] >= a["next"], F.struct((x["i"] - x["neg"]).alias("next"), F.concat(a["kept"], F.array(F.struct(x["i"].alias("i"), x["g"].alias("g")))).alias("kept"))).otherwise(a)
-    return got.select(key, F.explode(F.aggregate("h", zero, step)["kept"]).alias("k")).select(key, F.col("k.g").alias(term), F.col("k.i").alias("pos"))
+    return got.select(key, F.explode(F.aggregate("h", zero, step)["kept"]).alias("_kept")).select(key, F.col("_kept.g").alias(term), F.col("_kept.i").alias("pos"))
 
 
 def shorten(c: Column, whole: int, cut: int) -> Column:

@@ -160,7 +160,7 @@ WITH d AS (SELECT doc_id, regexp_extract_all(text, '\\b(1[789][0-9][0-9]|20[0-9]
 """)
 def year_mentions(t):
     """Years named in the documents."""
-    d = t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\b(1[789][0-9][0-9]|20[0-9][0-9])\b"), F.lit(1))).cast("int").alias("y"))
+    d = t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\b(1[789][0-9][0-9]|20[0-9][0-9])\b"), F.lit(1))).alias("y")).select("doc_id", F.col("y").cast("int").alias("y"))
     return d.groupBy("doc_id").agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"), F.countDistinct("y").alias("years"))
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 def json_folders(spark: SparkSession, folders: dict[str, str], schema: str) -> DataFrame:
     """Records of several folders of JSON files under one schema, with the folder's label; broken files give a null record, index files none."""
     def one(label: str, path: str) -> DataFrame:
-        files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
-        files = files.select(F.input_file_name().alias("file"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"))
-        return files.where(~F.col("file").rlike(r"/_index\.json$")).select(F.lit(label).alias("label"), "file", "r.*")
+        files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+        files = files.select(F.col("_metadata.file_name").alias("file"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"))
+        return files.where("file <> '_index.json'").select(F.lit(label).alias("label"), "file", "r.*")
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(k, v) for k, v in folders.items()])
 
@@ -31,7 +31,7 @@ def fixed_columns(df: DataFrame, line: str, columns: list[tuple[str, int, int]])
 
 def features(spark: SparkSession, path: str) -> DataFrame:
     """(properties map, geometry json) of the features of GeoJSON collections, one row each."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     schema = "features array<struct<properties:map<string,string>,geometry:string>>"
     return whole.select(F.explode(F.from_json("value", schema)["features"]).alias("f")).select("f.properties", "f.geometry")
 
