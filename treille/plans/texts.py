@@ -156,11 +156,13 @@ def line_counts(t):
 
 
 @query("""
-WITH d AS (SELECT doc_id, regexp_extract_all(text, '\\b(1[789][0-9][0-9]|20[0-9][0-9])\\b', 1) y FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, CAST(unnest(y) AS INTEGER) y FROM d) SELECT doc_id, min(y) AS first_year, max(y) AS last_year, count(DISTINCT y) AS years FROM u GROUP BY 1
+WITH d AS (SELECT doc_id, regexp_extract_all(text, '([0-9]+)', 1) y FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, unnest(y) y FROM d), n AS (SELECT doc_id, CAST(y AS INTEGER) y FROM u WHERE length(y) = 4 AND y BETWEEN '1700' AND '2099')
+SELECT doc_id, min(y) AS first_year, max(y) AS last_year, count(DISTINCT y) AS years FROM n GROUP BY 1
 """)
 def year_mentions(t):
     """Years named in the documents."""
-    d = t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\b(1[789][0-9][0-9]|20[0-9][0-9])\b"), F.lit(1))).alias("y")).select("doc_id", F.col("y").cast("int").alias("y"))
+    d = t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1))).alias("y"))
+    d = d.where("length(y) = 4 and y between '1700' and '2099'").select("doc_id", F.col("y").cast("int").alias("y"))
     return d.groupBy("doc_id").agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"), F.countDistinct("y").alias("years"))
 
 
