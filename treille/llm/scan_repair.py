@@ -13,6 +13,7 @@ removes the furniture, joins and corrects the words and reflows the paragraphs.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 import zlib
@@ -238,10 +239,13 @@ def tokens(line: str) -> list[str]:
 
 def pieces(token: str) -> list[str]:
     """A token and, where it has apostrophes, its parts."""
+    if "'" not in token and "’" not in token:
+        return [token]
     parts = [p for p in re.split(r"['’]", token) if p]
     return parts if len(parts) > 1 else [token]
 
 
+@functools.lru_cache(200_000)
 def _normal(token: str) -> str:
     return "#" if re.fullmatch(r"[\d.,/  ]+", token) else token.lower() if not re.search(r"[a-zà-ÿ][A-ZÀ-Ý]", token) else token
 
@@ -388,6 +392,7 @@ def _judge(candidates: DataFrame) -> DataFrame:
     return best.select("lang", "t", "nt", F.col("x.v").alias("v"), F.col("x.sure").alias("sure"))
 
 
+@functools.lru_cache(200_000)
 def _hash(lang: str, word: str) -> int:
     return zlib.crc32(f"{lang} {word}".encode()) & ((1 << BITS) - 1)
 
