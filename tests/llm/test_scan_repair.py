@@ -52,3 +52,24 @@ def test_trie_finds_all_and_channel_counts_misreads():
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "id long, lang string, text string")
     assert [x.count() for x in r.marks(empty)] == [0, 0, 0]
+
+
+def test_repaired_paragraphs(spark):
+    docs = spark.createDataFrame([(i, "fr", document(i)) for i in range(40)], "id long, lang string, text string")
+    parts = docs.selectExpr("id", "id as cahier_id", "'raw_text' as field", "0 as first", "text")
+    rows = r.repaired(parts, *r.marks(docs)).collect()
+    text = {i: " ".join(x["text"] for x in sorted((x for x in rows if x["cahier_id"] == i), key=lambda x: x["para_no"])) for i in range(40)}
+    assert "ceps de la vallée supportent une pente moyenne de 20 %." in text[0]
+    assert "supportent bien une maturité lente" in text[1] and "plantées au-dessus du village" in text[2]
+    assert not any("Cahier" in x or "– 1 –" in x or "\n" in x for x in text.values())
+    assert all(x.startswith("VAL DE MAVO ") for x in text.values())
+    words = {i: [w for n, line in enumerate(document(i).split("\n")) if "Cahier" not in line and not line.startswith("– ") for w in line.split()] for i in (3, 4)}
+    assert all(text[i].split() == words[i] for i in words)
+
+
+def test_paragraphs_over_pages_and_odd_case():
+    text = "a) Titre\n\nLes vieux ceps de la va1lée et l'ap-\n\n12\n\fTITRE 2\n\npellation, sont au-\ndessus. MATUR1TÉ\nlnfluence du nord\n\n– un ;\n– deux ;"
+    got = r.paragraphs(text, {4, 5}, {2: "appellation"}, {2: [("va1lée", "vallée")], 8: [("matur1té", "maturité")], 9: [("lnfluence", "influence")]})
+    assert got == ["a) Titre", "Les vieux ceps de la vallée et l'appellation, sont au-dessus. MATURITÉ influence du nord", "– un ;", "– deux ;"]
+    assert r.paragraphs("", set(), {}, {}) == [] and r.paragraphs("x\n\n\fy", {2}, {}, {}) == ["x"]
+    assert r.corrected("gl! alberi e 1O hl, 12g", [("gl", "gli"), ("1O", None), ("12g", None)], True) == "gli alberi e 10 hl, 12g"

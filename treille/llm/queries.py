@@ -7,6 +7,7 @@ from treille.llm import canonical_map, cooccur, language_mix, mixing, packing, s
 QUERIES = {
     "p1_found": unicode_forms.found,
     "p2_found": scan_repair.found,
+    "p2_repaired": scan_repair.repaired_fields,
     "p3_found": set_join.found,
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,

@@ -539,6 +539,148 @@ def _by_context(doubtful: DataFrame, counts: DataFrame) -> DataFrame:
     return rows.join(sums, "row").where((F.col("other") >= 4) & (F.col("other") >= 12 * F.greatest(F.col("own") - 2, F.lit(0)) + 2)).select("id", "line", "t", "v")
 
 
+# Signs read for digits, put back in numbers; g, q and ! after the last digit may be meant.
+DIGITS = str.maketrans({read: right for right in "012589" for read in TABLE[right]})
+LIST_MARK = re.compile(r"\s*(?:[–—•*·-]\s|[a-z0-9]{1,2}\)\s)")
+HEADER = re.compile(r"\s*[a-z]\)\s")
+
+
+def cased(word: str, like: str, begins: bool) -> str:
+    """``word`` in the case of the read form; a misread first sign is a capital where a sentence begins."""
+    letters = [c for c in like if c.isalpha()]
+    if len(letters) > 1 and all(c.isupper() for c in letters):
+        return word.upper()
+    capital = like[:1].isupper() or begins and fold(like[:1]) != fold(word[:1])
+    return word[:1].upper() + word[1:] if capital else word
+
+
+def corrected(line: str, readings: list[tuple[str, str | None]], begins: bool) -> str:
+    """A line with the readings (t, v) of its misread words put in; signs around a word stay."""
+    known = {t: v for t, v in readings if v is not None}
+    unknown = {t for t, v in readings if v is None}
+
+    def piece(p: str, first: bool) -> str:
+        v = known.get(_normal(p), known.get(p))
+        return p if v is None else cased(v, p, first)
+
+    def one(m: re.Match) -> str:
+        whole = m.group()
+        token = whole.strip(OUTER)
+        if not token:
+            return whole
+        at = whole.index(token)
+        before = line[: m.start()].rstrip(" «„“\"(")
+        first = before[-1:] in (".", "!", "?") if before else begins
+        stem = token[:-1]
+        if token in unknown and (LIKELY_DIGITS.match(token) or DIGITLIKE.match(token)):
+            new = token.translate(DIGITS)
+            new = stem.translate(DIGITS) + token[-1] if token[-1] in "gq!" else new
+        elif token[-1] == "!" and stem.isalpha() and known.get(stem) == stem.lower() + "i" and re.match(r"\s+[a-zà-ÿ]", line[m.end() :]):
+            new = cased(known[stem], stem, first)
+        elif _normal(token) in known:
+            new = piece(token, first)
+        else:
+            new = "".join(p if p in "'’" else piece(p, first) for p in re.split(r"(['’])", token) if p)
+        return whole[:at] + new + whole[at + len(token) :]
+
+    return WORD.sub(one, line)
+
+
+def _goes_on(page: Page, a: int, b: int, pages: list[int], width: int, in_list: bool) -> bool:
+    """Whether text line b belongs to the paragraph of text line a, the one before it."""
+    above, below = page.lines[a].replace("\f", "").rstrip(), page.lines[b].replace("\f", "").rstrip()
+    ended = above.rstrip("»“”\")")[-1:] in (".", "!", "?", ":", ";", "…")
+    if HEADER.match(below) or LIST_MARK.match(below) and (in_list or ended):
+        return False
+    if in_list and ended:
+        return False
+    if pages[a] == pages[b] and not page.running.intersection(range(a + 1, b)):
+        return b == a + 1
+    if HEADER.match(above) or below.startswith("  ") and (ended or not below.strip()[:1].islower()):
+        return False
+    # over a page's end: a sentence goes on, or the next word had no room on the line
+    return not ended and below.strip()[:1].islower() or len(above) + 1 + len(below.split()[0]) > width
+
+
+def paragraphs(text: str, running, hyphens: dict[int, str], readings: dict[int, list[tuple[str, str | None]]]) -> list[str]:
+    """The paragraphs of a text without its furniture, with broken words joined and readings put in.
+
+    ``hyphens``: the whole word, by the line it begins in; other words broken at a hyphen keep it.
+    """
+    page = Page(text, running)
+    pages, width = _pages(page.lines), max((len(page.lines[i].rstrip()) for i in page.body), default=0)
+    broken = {a: (b, left, right) for a, b, left, right in page.broken()}
+    out: list[str] = []
+    last, carried = -1, None  # carried: the first part of the word that goes on in this line
+    in_list = False
+    for i in page.body:
+        line = page.lines[i].replace("\f", " ").strip()
+        glue = carried is not None
+        if last < 0 or not glue and not _goes_on(page, last, i, pages, width, in_list):
+            out.append("")
+            in_list = bool(LIST_MARK.match(page.lines[i].replace("\f", " ")))
+        said = out[-1]
+        head = ""
+        if carried is not None:  # the word's second part
+            whole, left, right = carried
+            at = line.index(right)
+            end = at + len(right)
+            if whole is None:
+                head = "-" + line[:end]
+            elif _normal(left + right) == whole:
+                head = right
+            else:
+                head, said = cased(whole, left + right, False), said[: len(said) - len(left)]
+            line = line[end:]
+        tail, carried = "", None
+        if i in broken:
+            _, left, right = broken[i]
+            body = line.rstrip(HYPHENS)
+            cut_at = body.rfind(left)
+            if cut_at >= 0:
+                line, tail = body[:cut_at], left
+                carried = (hyphens.get(i), left, right)
+        begins = not said or said.rstrip(" «„“\"(")[-1:] in (".", "!", "?")
+        line = head + corrected(line, readings.get(i, []), begins and not head) + tail
+        out[-1] = said + ("" if glue or not said else " ") + line
+        last = i
+    return [x for x in (" ".join(p.split()) for p in out) if x]
+
+
+def repaired(parts: DataFrame, running: DataFrame, hyphen: DataFrame, glyph: DataFrame) -> DataFrame:
+    """(cahier_id, field, para_no, text): paragraphs of ``parts`` (id, cahier_id, field, first, text), given marks() by id.
+
+    ``first`` is the line of the marked document at which a part's text begins. A reading
+    is put in for every such word of its line. Misread words without a known reading stay
+    as they are, and so does the case of a misread first letter inside a sentence.
+    """
+    none = F.lit(None).cast("string")
+    rows = (
+        running.select("id", F.struct(F.lit("running").alias("kind"), "line", none.alias("t"), none.alias("v")).alias("m"))
+        .unionByName(hyphen.select("id", F.struct(F.lit("hyphen").alias("kind"), "line", none.alias("t"), F.col("whole").alias("v")).alias("m")))
+        .unionByName(glyph.distinct().select("id", F.struct(F.lit("glyph").alias("kind"), "line", "t", "v").alias("m")))
+    )
+    joined = parts.join(rows.groupBy("id").agg(F.sort_array(F.collect_list("m")).alias("marks")), "id", "left")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for cahier, field, first, text, marks in zip(pdf["cahier_id"], pdf["field"], pdf["first"], pdf["text"], pdf["marks"]):
+                gone, hyphens, readings = set(), {}, {}
+                for m in marks if marks is not None else ():
+                    line = m["line"] - first
+                    if m["kind"] == "running":
+                        gone.add(line)
+                    elif m["kind"] == "hyphen":
+                        hyphens[line] = m["v"]
+                    else:
+                        readings.setdefault(line, []).append((m["t"], m["v"]))
+                out += [(cahier, field, n, p) for n, p in enumerate(paragraphs(text, gone, hyphens, readings))]
+            yield pd.DataFrame(out, columns=["cahier_id", "field", "para_no", "text"])
+
+    return spread(joined.select("cahier_id", "field", "first", "text", "marks")).mapInPandas(run, "cahier_id bigint, field string, para_no int, text string")
+
+
 # The languages of the specifications.
 LANGS = ["de", "es", "fr", "it"]
 
@@ -570,3 +712,19 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
         .unionByName(section.select(F.col("id").alias("cahier_id"), F.lit("lien_au_terroir").alias("field"), (F.col("line") - F.col("first")).cast("int").alias("line_no"), "kind"))
         .distinct()
     )
+
+
+def repaired_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The paragraphs of both fields; a section that does not stand in raw_text is a document of its own."""
+    rows = once_per_key(spark.read.parquet(f"{folder}/cahier_extract.parquet").select("cahier_id", "source_lang", "raw_text", "lien_au_terroir"), "cahier_id")
+    at = F.expr("coalesce(locate(lien_au_terroir, raw_text), 0)")
+    before = F.expr("length(substring(raw_text, 1, at - 1)) - length(replace(substring(raw_text, 1, at - 1), '\n', ''))")
+    raw = rows.where("raw_text is not null").select((2 * F.col("cahier_id")).alias("id"), "cahier_id", "source_lang", F.lit("raw_text").alias("field"), F.lit(0).alias("first"), F.col("raw_text").alias("text"))
+    section = rows.where("lien_au_terroir <> ''").withColumn("at", at).select(
+        (2 * F.col("cahier_id") + (F.col("at") == 0).cast("int")).alias("id"), "cahier_id", "source_lang", F.lit("lien_au_terroir").alias("field"),
+        F.when(F.col("at") > 0, before).otherwise(0).cast("int").alias("first"), F.col("lien_au_terroir").alias("text"),
+    )
+    parts = cut(raw.unionByName(section), "parts")
+    docs = parts.where("field = 'raw_text' or id % 2 <> 0").select("id", "source_lang", "text")
+    found = marks(with_language(spread(docs), "text", "source_lang", LANGS))
+    return repaired(parts.drop("source_lang"), *found)
