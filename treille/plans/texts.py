@@ -185,6 +185,16 @@ def escaped_leads(t):
     return t("documents").where(F.col("text").isNotNull() & ~head.contains("'")).select("doc_id", escape(head).alias("escaped"))
 
 
+@query("""
+SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS escaped FROM documents WHERE text IS NOT NULL
+""")
+def escaped_texts(t):
+    """The whole texts, fit for a page; escaped_leads has only beginnings without an apostrophe."""
+    from treille.sources.sinks import escape
+
+    return t("documents").where("text is not null").select("doc_id", escape(F.col("text")).alias("escaped"))
+
+
 @query(f"""
 SELECT cahier_id, sha256(concat_ws(chr(0), coalesce(slug, ''), coalesce(raw_text, ''))) AS job_key FROM ({CAHIERS})
 """)
