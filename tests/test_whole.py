@@ -13,3 +13,34 @@ def test_whole_texts_are_escaped(spark):
     assert any("'" in x[:80] for x in want.values()) and max(map(len, want.values())) > 80
     assert {i: html.unescape(x) for i, x in got.items()} == want
     assert not any(c in x for x in got.values() for c in "<>\"'")
+
+
+def test_names_with_another_first_letter_match(spark):
+    names = {r["slug"]: r["name"] for r in spark.read.parquet(f"{DATA}/gi_register.parquet").collect()}
+    slugs = sorted(names)
+    limit = lambda x: 1 if len(x) <= 6 else 2 if len(x) <= 12 else 3
+    want = {}
+    for i, a in enumerate(slugs):
+        for b in slugs[i + 1 :]:
+            x, y = names[a], names[b]
+            if x[0] == y[0] or max(len(x), len(y)) > 6:
+                d = edits(x, y, min(limit(x), limit(y)))
+                if d <= min(limit(x), limit(y)):
+                    want[a, b] = d
+    rows = queries.QUERIES["fuzzy_levenshtein_whole"](spark, DATA).collect()
+    assert {(r["slug_a"], r["slug_b"]): r["edits"] for r in rows} == want and len(rows) == len(want)
+    assert sum(names[a][0] != names[b][0] for a, b in want) == 46
+
+
+def edits(a, b, most):
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        if min(row) > most:
+            return most + 1
+        last = row
+    return last[-1]

@@ -82,3 +82,18 @@ def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
+
+
+def deletions(word: str, k: int) -> set[str]:
+    """``word`` without up to k of its letters: two words within k edits share one of these."""
+    out = {word}
+    edge = {word}
+    for _ in range(k):
+        edge = {w[:i] + w[i + 1 :] for w in edge for i in range(len(w))}
+        out |= edge
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def shortened(words: pd.Series, k: pd.Series) -> pd.Series:
+    return pd.Series([list(deletions(w, int(n))) for w, n in zip(words, k)], dtype=object)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from treille.functions.similarity import deletions
 from treille.llm.language_mix import fold
 from treille.operators.dedup import once_per_key
 from treille.plans.lineage import cut, spread
@@ -41,15 +42,6 @@ def tokens(text: str) -> list[str]:
     return WORD.findall(re.sub(r"\b[dl]['’ʼ`´]", " ", text))
 
 
-def deletions(word: str, k: int) -> set[str]:
-    out = {word}
-    edge = {word}
-    for _ in range(k):
-        edge = {w[:i] + w[i + 1 :] for w in edge for i in range(len(w))}
-        out |= edge
-    return out
-
-
 def distance(a: str, b: str, most: int) -> int:
     """Edits (insert, delete, replace, swap neighbours) from a to b, or most+1 where there are more."""
     if a == b:

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from treille.functions import keys
+from treille.functions.similarity import shortened
 from treille.operators import facets, geo, hierarchy, resolve, tables
 from treille.operators.dedup import latest_per_key
 from treille.plans.queries import query
@@ -177,6 +178,23 @@ def fuzzy_levenshtein_match(t):
     return hit.where(d <= F.least("a.lim", "b.lim")).select(F.col("a.slug").alias("slug_a"), F.col("b.slug").alias("slug_b"), d.alias("edits"))
 
 
+@query("""
+WITH n AS (SELECT slug, name, CASE WHEN length(name) <= 6 THEN 1 WHEN length(name) <= 12 THEN 2 ELSE 3 END lim FROM gi_register)
+SELECT a.slug AS slug_a, b.slug AS slug_b, CAST(levenshtein(a.name, b.name) AS INTEGER) AS edits FROM n a JOIN n b ON a.slug < b.slug
+WHERE levenshtein(a.name, b.name) <= least(a.lim, b.lim) AND (substr(a.name, 1, 1) = substr(b.name, 1, 1) OR greatest(length(a.name), length(b.name)) > 6)
+""")
+def fuzzy_levenshtein_whole(t):
+    """Register names that may be one name mistyped, the first letter too unless both have up to 6 letters; found by shared forms after deletions."""
+    n = t("gi_register").select("slug", "name", F.when(F.length("name") <= 6, 1).when(F.length("name") <= 12, 2).otherwise(3).alias("lim")).where("name is not null")
+    forms = n.select("slug", F.explode(shortened("name", "lim")).alias("x"))
+    pairs = forms.alias("a").join(forms.alias("b").hint("merge"), (F.col("a.x") == F.col("b.x")) & (F.col("a.slug") < F.col("b.slug"))).select(F.col("a.slug").alias("slug_a"), F.col("b.slug").alias("slug_b")).distinct()
+    side = lambda s: n.select(F.col("slug").alias(f"slug_{s}"), F.col("name").alias(f"name_{s}"), F.col("lim").alias(f"lim_{s}"))
+    d = F.levenshtein("name_a", "name_b")
+    same = F.substring("name_a", 1, 1) == F.substring("name_b", 1, 1)
+    hit = pairs.join(side("a"), "slug_a").join(side("b"), "slug_b").where((d <= F.least("lim_a", "lim_b")) & (same | (F.greatest(F.length("name_a"), F.length("name_b")) > 6)))
+    return hit.select("slug_a", "slug_b", d.alias("edits"))
+
+
 @query("""
 WITH o AS (SELECT c_custkey, max(c_acctbal) bal FROM customer GROUP BY 1), n AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN c_acctbal + 1 ELSE c_acctbal END bal FROM customer WHERE c_custkey % 13 <> 0 UNION ALL SELECT c_custkey + 10000000, c_acctbal FROM customer WHERE c_custkey % 50 = 0),
 x AS (SELECT * FROM o WHERE c_custkey % 17 <> 0)
