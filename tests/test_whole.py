@@ -1,5 +1,6 @@
 """Queries that do the whole of what an older one does in part."""
 
+import datetime as dt
 import html
 
 from treille.plans import queries
@@ -44,3 +45,18 @@ def edits(a, b, most):
             return most + 1
         last = row
     return last[-1]
+
+
+def test_facts_are_grounded_in_the_specification(spark, tmp_path):
+    day = [dt.datetime(2024, 1, n) for n in (1, 2)]
+    finding = [(1, 1, "old vines on poor soil"), (2, 2, "old vines on poor soil"), (3, 3, "old vines on poor soil"), (4, 2, "not to be found in either")]
+    item = [(1, "fr", "raw/x/val-do-1.json", "old vines on poor soil.", day[0]), (2, "fr", "raw/x/val-do-2.json", "something else", day[0]), (3, "fr", None, "old vines on poor soil", day[0])]
+    cahier = [(1, "val-do", "a text before", day[0], day[0]), (2, "val-do", "Old vines\non poor soil", day[1], day[0]), (3, "val-do", None, day[1], day[1])]
+    for name, rows, schema in (
+        ("audit_finding", finding, "finding_id long, item_id long, snippet string"),
+        ("audit_item", item, "item_id long, expected string, file string, text string, loaded_at timestamp"),
+        ("cahier_extract", cahier, "cahier_id long, slug string, raw_text string, fetched_at timestamp, loaded_at timestamp"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = queries.QUERIES["fact_grounding"](spark, str(tmp_path)).collect()
+    assert {r["finding_id"]: r["provenance"] for r in rows} == {1: "both", 2: "second", 3: "first"}

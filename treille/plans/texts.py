@@ -132,10 +132,11 @@ def ngram_dictionary_tag(t):
 
 @query()
 def fact_grounding(t):
-    """Quotes of the audit grounded in the text they come from and in the document's specification."""
+    """Quotes of the audit grounded in the text they come from and in the current specification (the one fetched last) of the slug their item's file names."""
     f = t("audit_finding").select("finding_id", "item_id", "snippet").where("snippet is not null")
-    i = once_per_key(t("audit_item"), "item_id").select("item_id", F.col("text").alias("first"), F.col("expected").alias("second"))
-    return grounded.ground(f.join(i, "item_id"), "snippet", "first", "second").select("finding_id", "cover_first", "cover_second", "provenance")
+    i = once_per_key(t("audit_item"), "item_id").select("item_id", F.col("text").alias("first"), F.regexp_extract("file", r"([^/]+)-[0-9]+\.json$", 1).alias("slug"))
+    current = _cahiers(t).where("raw_text is not null").groupBy("slug").agg(F.max_by("raw_text", F.struct("fetched_at", "cahier_id")).alias("second"))
+    return grounded.ground(f.join(i, "item_id").join(current, "slug", "left"), "snippet", "first", "second").select("finding_id", "cover_first", "cover_second", "provenance")
 
 
 @query()
