@@ -73,3 +73,11 @@ def test_paragraphs_over_pages_and_odd_case():
     assert got == ["a) Titre", "Les vieux ceps de la vallée et l'appellation, sont au-dessus. MATURITÉ influence du nord", "– un ;", "– deux ;"]
     assert r.paragraphs("", set(), {}, {}) == [] and r.paragraphs("x\n\n\fy", {2}, {}, {}) == ["x"]
     assert r.corrected("gl! alberi e 1O hl, 12g", [("gl", "gli"), ("1O", None), ("12g", None)], True) == "gli alberi e 10 hl, 12g"
+
+
+def test_language_model_reads_whole_texts(spark):
+    head = "12 345 " * 700
+    words = {"fr": "les vieux ceps de la vallée gardent une maturité lente ", "de": "die alten Stöcke der Weinberge spiegeln geringe Niederschläge "}
+    rows = [(lang, head + words[lang] * (5 + i)) for lang in words for i in range(10)] + [(None, words["fr"] * 2), (None, words["de"] * 2)]
+    got = r.with_language(spark.createDataFrame(rows, "label string, text string"), "text", "label", ["de", "fr"]).where("label is null").collect()
+    assert {x["text"].split()[0]: x["lang"] for x in got} == {"les": "fr", "die": "de"}

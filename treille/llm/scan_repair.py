@@ -439,9 +439,9 @@ def _with_running(docs: DataFrame, patterns) -> DataFrame:
 
 
 def with_language(df: DataFrame, text: str, label: str, langs: list[str], sample: int = 4_000) -> DataFrame:
-    """``df`` with column lang: the label's code, or for rows without one the likeliest by a model fitted on at most about ``sample`` labelled rows."""
+    """``df`` with column lang: the label's code, or for rows without one the likeliest by a model fitted on the whole texts of at most about ``sample`` labelled rows."""
     labelled = df.withColumn("lang", language_code(F.col(label)))
-    model = df.sparkSession.sparkContext.broadcast(train(labelled.select(F.substring(F.col(text), 1, 4000).alias("text"), "lang"), langs, sample))
+    model = df.sparkSession.sparkContext.broadcast(train(labelled.select(F.col(text).alias("text"), "lang"), langs, sample))
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m: LanguageModel = model.value
