@@ -81,3 +81,14 @@ def test_language_model_reads_whole_texts(spark):
     rows = [(lang, head + words[lang] * (5 + i)) for lang in words for i in range(10)] + [(None, words["fr"] * 2), (None, words["de"] * 2)]
     got = r.with_language(spark.createDataFrame(rows, "label string, text string"), "text", "label", ["de", "fr"]).where("label is null").collect()
     assert {x["text"].split()[0]: x["lang"] for x in got} == {"les": "fr", "die": "de"}
+
+
+def test_recurring_misreads_long_words_and_long_furniture(spark):
+    long = "ab" * 35
+    footer = " ".join(f"comité{c * 6} interprofessionnel{c * 3}" for c in "abcd")
+    text = "TITRE\n" + "\n".join(["les vieux ceps de la vallée gardent une maturité lente"] * 101 + ["le wqx7zkj est là"] + [f"le {long} est là", "les coteaux gardent une pente"] * 3 + ["les vieux ceps de la vallée gardent une maturité lente"] * 9) + "\n" + footer
+    rows = [(i, "fr", text.replace(long, long[:30] + "1" + long[31:], 1) if i == 5 else text) for i in range(30)]
+    running, _, glyph = (x.collect() for x in r.marks(spark.createDataFrame(rows, "id long, lang string, text string")))
+    assert sum(x["t"] == "wqx7zkj" for x in glyph) == 30
+    assert {x["v"] for x in glyph if x["id"] == 5 and x["t"] != "wqx7zkj"} == {long}
+    assert len(r.core(r.line_key(footer, set()))) > 80 and {(x["id"], x["line"]) for x in running} == {(i, 118) for i in range(30)}

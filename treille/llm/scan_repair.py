@@ -45,6 +45,8 @@ ROMAN = re.compile(r"^[ivxlc]+$")
 PAGE_WORDS = {"page", "seite", "pagina", "p", "pag", "s", "pg", "de", "von", "di", "sur", "of", "n"}
 DIGITLIKE = re.compile(r"^(?=.*\d)[0-9OoQIl|!SsZzBbgq.,/]+$")
 LIKELY_DIGITS = re.compile(r"^[OQIl|!SZB]{1,4}$")
+ODD_RATE = 1e-3  # an odd word without a reading is misread up to this part of its language's words, and always up to ODD_SEEN times
+ODD_SEEN = 20
 BITS = 22  # the filter for words worth a join has 2**BITS bits, whatever the corpus
 
 
@@ -307,7 +309,7 @@ def _edge_counts(docs: DataFrame) -> DataFrame:
 
 def learn_furniture(docs: DataFrame) -> dict[str, set[str]]:
     """Keys of lines that stand at page edges at least 9 times in 10 and 4 times or more; few, as they name no document."""
-    counts = cut(_edge_counts(docs).where("length(key) between 1 and 80 and (top >= 4 or bottom >= 4)"), "edges")
+    counts = cut(_edge_counts(docs).where("key <> '' and (top >= 4 or bottom >= 4)"), "edges")
     return {z: {r[0] for r in counts.where(f"{z} >= 4 and {z} >= 0.9 * ({z} + body) and key rlike '[a-z]'").select("key").collect()} for z in ("top", "bottom")}
 
 
@@ -466,8 +468,7 @@ def marks(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     forms = breaks.select("lang", F.explode(F.array("whole", "hyphened", "l", "r")).alias("t")).distinct().join(words, ["lang", "t"], "left")
     wholes = breaks.select("lang", F.col("whole").alias("t")).distinct().join(words, ["lang", "t"], "left_anti").withColumn("nt", F.lit(0).cast("long"))
-    top = words.where(F.length("t") <= 60)
-    suspects = top.where(F.col("t").rlike(r"(?U)\p{L}")).unionByName(wholes)
+    suspects = words.where(F.col("t").rlike(r"(?U)\p{L}")).unionByName(wholes)
     trusted = words.where((F.col("nt") >= 3) & F.col("t").rlike(r"(?U)^[\p{L}-]+$") & ~F.col("t").rlike(r"(?U)\p{Ll}\p{Lu}")).select("lang", F.col("t").alias("v"), F.col("nt").alias("nv"))
     # a word more frequent than a fifteenth of the most frequent one can't be a misreading of any
     most = words.where("t <> '#'").groupBy("lang").agg(F.max("nt").alias("top"))
@@ -475,10 +476,11 @@ def marks(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     near = _candidates(suspects.select("lang", "t"), trusted.select("lang", "v"))
     near = near.join(suspects, ["lang", "t"]).join(trusted, ["lang", "v"])
     verdicts = cut(_judge(near.where("nv > nt")), "verdicts")
-    odd_words = words.where(_odd("t")).select("lang", "t", "nt")
+    totals = words.groupBy("lang").agg(F.sum("nt").alias("all"))  # one row per language
+    odd_words = words.where(_odd("t")).join(F.broadcast(totals), "lang").select("lang", "t", "nt", (F.col("nt") <= F.greatest(F.lit(ODD_SEEN), ODD_RATE * F.col("all"))).alias("rare"))
     verdicts = cut(
         verdicts.join(odd_words.select("lang", "t", F.lit(True).alias("odd")), ["lang", "t"], "left").select("lang", "t", "nt", "v", (F.col("sure") | F.coalesce("odd", F.lit(False))).alias("sure"))
-        .unionByName(odd_words.join(verdicts, ["lang", "t"], "left_anti").where((F.length("t") >= 4) & (F.col("nt") <= 20) & F.col("t").rlike(r"(?U)\p{L}.*[!|]|\p{L}\d\p{L}|^\d\p{Ll}{3,}|\p{L}{3,}\d$")).select("lang", "t", "nt", F.lit(None).cast("string").alias("v"), F.lit(True).alias("sure"))),
+        .unionByName(odd_words.join(verdicts, ["lang", "t"], "left_anti").where((F.length("t") >= 4) & F.col("rare") & F.col("t").rlike(r"(?U)\p{L}.*[!|]|\p{L}\d\p{L}|^\d\p{Ll}{3,}|\p{L}{3,}\d$")).select("lang", "t", "nt", F.lit(None).cast("string").alias("v"), F.lit(True).alias("sure"))),
         "judged",
     )
 
