@@ -46,3 +46,17 @@ def test_sizes_of_odd_texts(spark):
     got = {r["id"]: (r["tokens"], r["loss_tokens"]) for r in token_sizes(df, "id", "text").collect()}
     assert got[1] == got[2] == (0, 0) and got[3][0] > 1 and 0 < got[4][1] < got[4][0] and got[5][0] >= 50_000
     assert p.pack(token_sizes(df.limit(0), "id", "text"), "id", [(1, 8)]).count() == 0
+
+
+def test_the_registered_loss_limit_binds(spark):
+    from treille.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    cap = dict(p.capacities(spark, folder))
+    out = QUERIES["p7_loss_packed"](spark, folder).toPandas()
+    loss = out.groupby(["run_id", "container"]).agg(loss=("loss_tokens", "sum"), items=("doc_id", "size")).reset_index()
+    limit = loss.run_id.map(cap) * p.LOSS_SHARE
+    assert (loss[loss["items"] > 1].loss <= limit[loss["items"] > 1]).all()
+    free = QUERIES["p7_packed"](spark, folder).toPandas()
+    assert (free.groupby(["run_id", "container"]).loss_tokens.sum().reset_index().pipe(lambda x: x.loss_tokens > x.run_id.map(cap) * p.LOSS_SHARE)).any()
+    assert out.tokens.sum() == free.tokens.sum()

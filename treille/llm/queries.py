@@ -14,6 +14,8 @@ QUERIES = {
     "p6_found": canonical_map.found,
     "p7_packed": packing.packed,
     "p7_unused": packing.unused,
+    "p7_loss_packed": packing.packed_by_loss,
+    "p7_loss_unused": packing.unused_by_loss,
     "p8_mixture": mixing.chosen,
     "p8_shares": mixing.shares,
     "p9_found": sentences.found,
