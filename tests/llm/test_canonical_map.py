@@ -34,3 +34,17 @@ def test_deletion_join_finds_every_near_word(spark):
 
 def test_distance_counts_a_swap_once():
     assert c.distance("abcd", "acbd", 2) == 1 and c.distance("abcd", "abcd", 2) == 0 and c.distance("abc", "xyz", 2) == 3
+
+
+def test_entries_are_found_by_their_commoner_tokens(spark):
+    common = "alba berta carla dorna elisa fulvi gresto hinmo".split()
+    entries = [(1, " ".join(["zwuxi", *common]))] + [(10 + i, f"{w} {chr(97 + i % 20) * 4}{chr(97 + i // 20) * 4}") for w in common for i in range(30)]
+    entries = [(k, x) for k, (_, x) in enumerate(entries, 1)]
+    assert mapped(spark, [" ".join(common)], entries) == {" ".join(common): 1}
+
+
+def test_unmatched_are_all_others(spark, tmp_path):
+    names = [(1, "pinot noir"), (2, "klupmokwem"), (3, None), (4, ""), (2, "klupmokwem")]
+    spark.createDataFrame(names, "entry_id long, name string").write.parquet(f"{tmp_path}/match_result.parquet")
+    spark.createDataFrame(ENTRIES, "vivc_id long, prime_name string").write.parquet(f"{tmp_path}/vivc_passport.parquet")
+    assert sorted(r["entry_id"] for r in c.unmatched(spark, str(tmp_path)).collect()) == [2, 3, 4]

@@ -26,7 +26,6 @@ from treille.operators.dedup import once_per_key
 from treille.plans.lineage import cut, spread
 
 WORD = re.compile(r"[^\W\d_]+")
-HEAD_ENTRIES = 20  # a token of at most so many entries can name one
 INITIAL = 0.5  # how far a single letter stands for a word it begins
 BROADCAST_WORDS = 15_000
 COVERED = 0.7  # least part of an entry's weight that must be found
@@ -76,8 +75,11 @@ def _vocabulary(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     weight = by_token.groupBy("v").agg(F.count("*").alias("df")).withColumn("w", F.log(1 + F.lit(total) / F.col("df")))
     weighted = by_token.join(weight, "v")
     rarest = Window.partitionBy("id").orderBy("df", "v")
-    weighted = cut(weighted.withColumn("rank", F.row_number().over(rarest)), "weights")
-    heads = weighted.where((F.col("df") <= HEAD_ENTRIES) | (F.col("rank") == 1)).select("v", "id", F.lit(False).alias("glued"))
+    before = F.sum("w").over(rarest.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
+    weighted = weighted.withColumns({"rank": F.row_number().over(rarest), "before": before, "all": F.sum("w").over(Window.partitionBy("id"))})
+    weighted = cut(weighted, "weights")
+    # heads: the rarest tokens without which, as initials at most, COVERED is out of reach
+    heads = weighted.where((1 - INITIAL) * F.col("before") <= (1 - COVERED) * F.col("all") + 1e-9).select("v", "id", F.lit(False).alias("glued"))
     glued = parsed.select(F.array_join("toks", "").alias("v"), "id", F.lit(True).alias("glued"))
     whole = weighted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "v", "w"))).alias("toks"))
     others = weighted.select("v", F.lit(None).cast("bigint").alias("id"), F.lit(False).alias("glued"))
@@ -193,3 +195,9 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
     entries = once_per_key(spark.read.parquet(f"{folder}/match_result.parquet").select("entry_id", "name"), "entry_id")
     mapped = map_values(entries, "name", spark.read.parquet(f"{folder}/vivc_passport.parquet"), "vivc_id", "prime_name")
     return entries.join(mapped, "name").select("entry_id", F.col("id").alias("vivc_id"))
+
+
+def unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """(entry_id, name) of the entries whose name means none of the reference list, null and empty names among them."""
+    entries = once_per_key(spark.read.parquet(f"{folder}/match_result.parquet").select("entry_id", "name"), "entry_id")
+    return entries.join(found(spark, folder).select("entry_id"), "entry_id", "left_anti")

@@ -12,6 +12,7 @@ QUERIES = {
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,
     "p6_found": canonical_map.found,
+    "p6_unmatched": canonical_map.unmatched,
     "p7_packed": packing.packed,
     "p7_unused": packing.unused,
     "p7_loss_packed": packing.packed_by_loss,
