@@ -39,11 +39,28 @@ def test_sentences_are_cut_where_they_end(docs):
     assert len(cut(0)) == 7 and cut(0)[0].endswith("register.") and cut(0)[4].endswith("“No.") and cut(0)[5] == "The rule is clear.”"
     assert len(cut(1)) == 4
     assert cut(2) == ["土はやせている。", "「木は苦しむ。」と記している。", "終わり！"]
-    assert [cut(i) for i in (1000, 1001, 1002)] == [[], [], []] if 1000 in text else True
+    assert [ends.get(i, []) for i in (1000, 1001, 1002)] == [[], [], []]
     assert cut(1003) == ["1. Permitted kinds", "* one: 5 hl/ha;", "* two. Three"]
-    assert len(cut(1004)) == 3 and len(cut(1005)) == 20_000 and len(cut(1006)) == 2
+    assert len(cut(1004)) == 3 and len(cut(1005)) == 20_000
+    assert cut(1006) == ["เนินเขาแถบนี้สะท้อนลม", "ไวน์จากเขตนี้ 47 เฮกตาร์", "ดินบางของเขตนี้"]
     assert cut(1007) == ["“The soil is poor. The vine struggles,” notes the board.", "The wines are dry.", "The rule is clear."]
 
 
+def test_plain_adjectives_are_no_abbreviations(docs):
+    """Words that end sentences before one and the same opening word, however often; the count of a repeated sentence doesn't matter."""
+    from treille.llm.language_mix import train
+
+    model = train(docs.selectExpr("text", "lang"), s.LANGS)
+    know = s.learn(docs, "text", docs.sparkSession.sparkContext.broadcast(model))
+    assert {"st", "no", "e.g"} <= {w for lang, w in know.abbreviations if lang == "en"}
+    assert not {"clear", "dry", "karg", "jahres", "trocken", "genannt", "freshness"} & {w for _, w in know.abbreviations}
+    assert not any(w[0].isdigit() for _, w in know.abbreviations)
+
+
+def test_words_without_blanks_are_read_once(docs):
+    long = docs.limit(1).selectExpr("1 as id", "concat(repeat('aa.A1b', 200000), '. The end.') as text", "'en' as lang")
+    assert s.sentence_ends(docs.select("id", "text", "lang").union(long.select("id", "text", "lang")), "id", "text", "lang").where("id = 1").count() >= 1
+
+
 def test_no_documents(docs):
     assert s.sentence_ends(docs.limit(0), "id", "text", "lang").count() == 0

@@ -1,11 +1,13 @@
 """Sentence boundaries learned without supervision, language by language.
 
 One pass counts, per language, how often each word stands with and without a period, what
-follows the period, and which words open paragraphs. Log-likelihood ratios turn the counts
-into abbreviations (a short word nearly always before a period, that rarely closes a
-paragraph or is often followed by small letters), collocations (a word or number, a period
-and what follows too often for chance) and sentence starters. A second pass classifies
-each end mark with them. Scripts without spaces end at their own full stops, Thai at the
+follows the period, and which words open paragraphs; two neighbours count once a paragraph,
+as a repeated phrase is no new evidence. Log-likelihood ratios turn the counts into
+abbreviations (a short word nearly always before a period, after which sentences end less
+often than after others, or small letters or digits follow more often), collocations (a
+word or number, a period and what follows too often for chance) and sentence starters. A
+sentence has ended where the paragraph ends or a capital follows that the word otherwise
+hasn't inside sentences. A second pass classifies each end mark with them. Scripts without spaces end at their own full stops, Thai at the
 blanks between Thai words; a blank line always ends a sentence.
 """
 
@@ -31,6 +33,7 @@ LANGS = ["bg", "de", "el", "en", "es", "fr", "it", "ja", "nl", "pt", "th", "zh"]
 ABBREVIATION = 0.3  # least score of an abbreviation
 SURE = 7.88  # least log-likelihood ratio of a difference (0.5 %)
 OFTEN = 0.02  # a word that closes paragraphs at this rate can end a sentence
+RATE = 1e-5  # least part of its language's cases that a learned entry makes up: bounds each lexicon to 1/RATE entries a language
 
 PARAGRAPH = re.compile(r"\n[^\S\n]*(?:\n|$)| |\f")
 TOKEN = re.compile(r"\S+")
@@ -83,23 +86,29 @@ def _observe(model: LanguageModel, text: str, seen: Counter) -> None:
             continue
         listed = bool(BULLET_OR_NUMBER.match(part))
         tokens = TOKEN.findall(part)
+        told: set[tuple[str, str]] = set()
         last = ("", True)
         for i, token in enumerate(tokens):
             word, period = _type(token)
+            context = (token, tokens[i + 1] if i + 1 < len(tokens) else "")
+            again = context in told
+            told.add(context)
             first = token.lstrip(STRIP_LEFT)[:1]
-            if first.isupper() and not listed:
-                upper = _type(token.rstrip("."))[0]
-                seen[lang, "start" if i == 0 else "after" if last[1] else "mid", upper, ""] += 1
-            if i and last[1] and last[0] and first and not listed:
-                if first.isupper() and len(last[0]) <= 8:
+            if not again:
+                if first.isupper() and not listed:
+                    upper = _type(token.rstrip("."))[0]
+                    seen[lang, "start" if i == 0 else "after" if last[1] else "mid", upper, ""] += 1
+                elif first.islower() and not last[1]:
+                    seen[lang, "low", word, ""] += 1
+                if i and last[1] and last[0] and first.isupper() and not listed:
                     seen[lang, "pair", last[0], _type(token.rstrip("."))[0]] += 1
-            if len(word) <= 30 and word:
-                seen[lang, "period" if period else "plain", word, ""] += 1
-                if period:
-                    following = _class(_head(tokens[i + 1], 0)) if i + 1 < len(tokens) else "E"
-                    if not token.rstrip(CLOSERS).endswith("."):
-                        following = "o"
-                    seen[lang, "next", word, following] += 1
+                if word:
+                    seen[lang, "period" if period else "plain", word, ""] += 1
+                    if period:
+                        following = _class(_head(tokens[i + 1], 0)) if i + 1 < len(tokens) else "E"
+                        if not token.rstrip(CLOSERS).endswith("."):
+                            following = "o"
+                        seen[lang, "next", word, following] += 1
             if token.endswith(("!", "?")):
                 period = True
                 word = ""
@@ -147,10 +156,21 @@ def learn(docs: DataFrame, text: str, model) -> Boundaries:
     counts = cut(rows.groupBy("lang", "kind", "a", "b").agg(F.sum("n").alias("n")), "counts")
 
     of = lambda kind, *b: F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.col("b").isin(*b) if b else F.lit(True)), F.col("n"))), F.lit(0))
+    uppers = counts.where(F.col("kind").isin("start", "mid", "after", "low")).groupBy("lang", "a").agg(of("start").alias("s"), of("mid").alias("m"), of("low").alias("low"))
+    uppers = cut(uppers, "capitals")
+    pairs = counts.where("kind = 'pair'").select("lang", "a", "b", "n")
+    # a capital that says a sentence began: of a word that isn't written so inside sentences; names without a case in their language are judged by all
+    anywhere = uppers.groupBy(F.col("a").alias("b")).agg(*[F.sum(c).alias(f"any_{c}") for c in ("s", "m", "low")])
+    opens = pairs.join(uppers.select("lang", F.col("a").alias("b"), "s", "m", "low"), ["lang", "b"]).join(anywhere, "b")
+    own, any_ = F.col("s") + F.col("m") + F.col("low") > 0, F.col("any_s") + F.col("any_m") + F.col("any_low") > 0
+    sure = F.when(own, F.col("m") < F.col("s") + F.col("low")).otherwise(F.col("any_m") < F.col("any_s") + F.col("any_low"))
+    opens = opens.where(sure | ~any_).groupBy("lang", "a").agg(F.sum("n").alias("opened"), F.sum(F.when(sure, F.col("n")).otherwise(0)).alias("surely"))
     words = counts.where(F.col("kind").isin("plain", "period", "next")).groupBy("lang", "a").agg(
         of("plain").alias("plain"), of("period").alias("period"), of("next", "E").alias("e"), of("next", "l").alias("l"), of("next", "D").alias("d"), of("next", "l", "U", "D", "E", "C").alias("known")
     )
-    totals = words.groupBy("lang").agg(*[F.sum(c).alias(f"t_{c}") for c in ("plain", "period", "e", "l", "d", "known")])
+    words = words.join(opens, ["lang", "a"], "left").withColumn("ended", F.least(F.col("e") + F.coalesce("opened", F.lit(0)), F.col("known"))).withColumn("surely", F.coalesce("surely", F.lit(0)))
+    words = cut(words, "words")
+    totals = words.groupBy("lang").agg(*[F.sum(c).alias(f"t_{c}") for c in ("plain", "period", "e", "ended", "l", "d", "known")])
     words = words.where("period > 0").join(F.broadcast(totals), "lang")  # one row per language
     n, k = F.col("plain") + F.col("period"), F.col("period")
     base = F.col("t_period") / (F.col("t_plain") + F.col("t_period"))
@@ -159,28 +179,41 @@ def learn(docs: DataFrame, text: str, model) -> Boundaries:
     dots = F.length("a") - F.length(F.regexp_replace("a", r"\.", "")) + 1
     score = likely * F.exp(-letters) * dots * F.pow(letters, -F.col("plain"))
     versus = lambda c: ratio(F.col(c), F.col("known"), F.col(f"t_{c}") - F.col(c), F.col("t_known") - F.col("known"))
-    rated = words.select("lang", "a", (F.col("e") / F.greatest("known", F.lit(1))).alias("closes"), score.alias("score"), n.alias("n"), versus("e").alias("ve"), versus("l").alias("vl"), versus("d").alias("vd"))
-    continuing = (F.col("ve") < -SURE) | (F.col("vl") > SURE) | (F.col("vd") > SURE) | ((F.col("closes") == 0) & (F.col("n") < 25))
-    taken = rated.where(~F.col("a").startswith("#") & (F.col("score") >= ABBREVIATION) & continuing)
-    abbreviations = {(r["lang"], r["a"]): (r["closes"] >= OFTEN, r["vd"] > SURE) for r in taken.collect()}
+    rated = words.where(k >= RATE * F.col("t_period")).select(
+        "lang", "a", "surely", letters.alias("letters"), (F.col("e") / F.greatest("known", F.lit(1))).alias("closes"), score.alias("score"), versus("ended").alias("ve"), versus("e").alias("vc"), versus("l").alias("vl"), versus("d").alias("vd")
+    )
+    continuing = (F.col("ve") < -SURE) | (F.col("vl") > SURE) | (F.col("vd") > SURE)
+    # before words that stand nowhere else: the shortest words, where they close no paragraph
+    continuing = continuing | (F.col("vc") < -SURE) & (F.col("surely") == 0) & (F.col("letters") <= 3)
+    taken = rated.where(F.col("a").rlike(r"(?U)^\p{L}") & (F.col("score") >= ABBREVIATION) & continuing)
+    abbreviations = {(r["lang"], r["a"]): (r["closes"] >= OFTEN, r["vd"] > SURE) for r in taken.collect()}  # at most 1/RATE a language
 
-    uppers = counts.where(F.col("kind").isin("start", "mid", "after")).groupBy("lang", "a").agg(of("start").alias("s"), of("mid").alias("m"))
     all_ = uppers.groupBy("lang").agg(F.sum("s").alias("ts"), F.sum("m").alias("tm"))
     uppers = uppers.join(F.broadcast(all_), "lang")  # one row per language
     opening = ratio(F.col("s"), F.col("s") + F.col("m"), F.col("ts") - F.col("s"), F.col("ts") + F.col("tm") - F.col("s") - F.col("m"))
-    starters = {(r["lang"], r["a"]) for r in uppers.where((F.col("s") >= 3) & (opening > SURE) & (F.col("s") > 0.2 * (F.col("s") + F.col("m")))).select("lang", "a").collect()}
+    started = uppers.where((F.col("s") >= 3) & (F.col("s") >= RATE * F.col("ts")) & (opening > SURE) & (F.col("s") > 0.2 * (F.col("s") + F.col("m"))))
+    starters = {(r["lang"], r["a"]) for r in started.select("lang", "a").collect()}  # at most 1/RATE a language
 
-    pairs = counts.where("kind = 'pair'").select("lang", "a", "b", "n")
     by_a = pairs.groupBy("lang", "a").agg(F.sum("n").alias("na"))
     by_b = pairs.groupBy("lang", "b").agg(F.sum("n").alias("nb"))
     by_l = pairs.groupBy("lang").agg(F.sum("n").alias("nl"))
     joined = pairs.where("n >= 3").join(by_a, ["lang", "a"]).join(by_b, ["lang", "b"]).join(F.broadcast(by_l), "lang")
     together = ratio(F.col("n"), F.col("na"), F.col("nb") - F.col("n"), F.col("nl") - F.col("na"))
-    strong = joined.where((together > SURE) & (F.col("n") > 0.5 * F.col("nb")))
-    collocations = {(r["lang"], r["a"], r["b"]) for r in strong.select("lang", "a", "b").collect()}
+    strong = joined.where((together > SURE) & (F.col("n") > 0.5 * F.col("nb")) & (F.col("n") >= RATE * F.col("nl")))
+    collocations = {(r["lang"], r["a"], r["b"]) for r in strong.select("lang", "a", "b").collect()}  # at most 1/RATE a language
     return Boundaries(abbreviations, starters, collocations)
 
 
+def _before(part: str, at: int, stop: str = "") -> str:
+    """What stands before ``at`` up to white space or a character of ``stop``."""
+    i = at
+    while i > 0 and not part[i - 1].isspace():
+        i -= 1
+        if part[i] in stop:
+            break
+    return part[i:at]
+
+
 def _quotes(part: str) -> tuple[set[int], list[tuple[int, int]]]:
     """(positions of closing marks, quoted spans that a sentence goes on after)."""
     stack: list[tuple[str, int]] = []
@@ -247,11 +280,13 @@ def _ends(part: str, lang: str, know: Boundaries) -> list[int]:
         own = marks[-1] in OWN_ENDS
         if j < len(part) and not part[j].isspace() and not own:
             # a lost blank: a word of small letters, the mark, then a capitalised word
-            before = TOKEN.findall(part[max(0, m.start() - 40) : m.start()])[-1:] or [""]
-            opened = _type((TOKEN.findall(part[j : j + 40]) or [""])[0].rstrip("."))[0]
-            word = before[0].lstrip(STRIP_LEFT)
+            if marks != "." or not part[j].isupper():
+                continue
+            word = _before(part, m.start(), ".").lstrip(STRIP_LEFT)
             whole = len(word) > 1 and word[-1:].islower() or word.endswith("%")
-            if not (marks == "." and part[j].isupper() and whole and "." not in word and (part[j + 1 : j + 2].islower() or (lang, opened) in know.starters)):
+            if not whole or "." in word:
+                continue
+            if not part[j + 1 : j + 2].islower() and (lang, _type(TOKEN.match(part, j).group().rstrip("."))[0]) not in know.starters:
                 continue
         ahead = _head(part, j)
         kind = _class(ahead)
@@ -264,10 +299,9 @@ def _ends(part: str, lang: str, know: Boundaries) -> list[int]:
             if kind != "C" or "…" not in marks:
                 found.append(j)
             continue
-        tokens = TOKEN.findall(part[max(0, m.start() - 60) : m.end()])
-        word, _ = _type(tokens[-1]) if tokens else ("", True)
-        following = TOKEN.findall(part[j : j + 80])
-        nxt = _type(following[0].rstrip("."))[0] if following else ""
+        word, _ = _type(_before(part, m.end()))
+        following = TOKEN.search(part, j)
+        nxt = _type(following.group().rstrip("."))[0] if following else ""
         known = know.abbreviations.get((lang, word))
         if word.startswith("#"):
             if kind == "U" and (lang, word, nxt) in know.collocations and (lang, nxt) not in know.starters:
