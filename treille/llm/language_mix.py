@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treille.operators.dedup import once_per_key
+from treille.plans.lineage import cut, spread
 
 BITS = 18  # n-grams are hashed into 2**BITS rows, which bounds the model's size
 SMOOTH = 2e-6
@@ -241,8 +242,8 @@ def train(rows: DataFrame, langs: list[str], sample: int = 100_000) -> LanguageM
 SEGMENTS = "segments array<struct<start:int,end:int,lang:string,confidence:double,words:int>>"
 
 
-def identify(df: DataFrame, key: str, text: str, model: LanguageModel) -> DataFrame:
-    """(key, langs array<struct<lang,share,confidence>>, segments) of every row of ``df``.
+def identify(df: DataFrame, key: str, text: str, model: LanguageModel, *carried: str) -> DataFrame:
+    """(key, carried..., langs array<struct<lang,share,confidence>>, segments) of every row of ``df``.
 
     ``share`` is the part of the text's words, ``confidence`` the word-weighted posterior.
     Null texts and texts without a word have empty arrays. Offsets count code points.
@@ -262,11 +263,14 @@ def identify(df: DataFrame, key: str, text: str, model: LanguageModel) -> DataFr
                     got[0] += b - a
                     got[1] += (b - a) * sure
                 langs.append([{"lang": k, "share": n / total, "confidence": s / max(n, 1)} for k, (n, s) in sorted(by.items(), key=lambda x: (-x[1][0], x[0]))])
-            yield pd.DataFrame({"k": pdf["k"], "langs": langs, "segments": [[dict(zip(("start", "end", "lang", "confidence", "words"), x)) for x in s] for s in found]})
+            told = {"langs": langs, "segments": [[dict(zip(("start", "end", "lang", "confidence", "words"), x)) for x in s] for s in found]}
+            yield pd.concat([pdf.drop(columns="t").reset_index(drop=True), pd.DataFrame(told)], axis=1)
 
-    kind = dict(df.dtypes)[key]
-    out = df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, langs array<struct<lang:string,share:double,confidence:double>>, {SEGMENTS}")
-    return out.withColumnRenamed("k", key)
+    kinds = dict(df.dtypes)
+    named = [F.col(key).alias("k"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)]]
+    schema = f"k {kinds[key]}, {''.join(f'c{i} {kinds[c]}, ' for i, c in enumerate(carried))}langs array<struct<lang:string,share:double,confidence:double>>, {SEGMENTS}"
+    out = df.select(*named, F.col(text).alias("t")).mapInPandas(run, schema)
+    return out.select(F.col("k").alias(key), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carried)], "langs", "segments")
 
 
 # The languages of the domain's texts.
@@ -274,10 +278,9 @@ AUDITED = ["bg", "de", "el", "en", "es", "fr", "it", "nl", "pt"]
 
 
 def found(spark: SparkSession, folder: str) -> DataFrame:
-    items = spark.read.parquet(f"{folder}/audit_item.parquet").select("item_id", "expected", "text")
-    items = once_per_key(items, "item_id").select("item_id", "text", language_code(F.col("expected")).alias("lang"))
-    model = train(items.select("text", "lang"), AUDITED)
-    long_enough = items.where(F.length("text") >= 15)
-    segments = identify(long_enough, "item_id", "text", model).select("item_id", F.explode("segments").alias("s"))
-    occurs = segments.where((F.col("s.words") >= MIN_WORDS) & (F.col("s.confidence") >= 0.5)).select("item_id", F.col("s.lang").alias("lang")).distinct()
-    return occurs.join(items.select("item_id", F.col("lang").alias("expected")), "item_id").where(~F.col("lang").eqNullSafe(F.col("expected"))).select("item_id", "lang")
+    items = once_per_key(spark.read.parquet(f"{folder}/audit_item.parquet").select("item_id", "expected", "text"), "item_id")
+    items = cut(items.select("item_id", "text", language_code(F.col("expected")).alias("expected")), "items")  # deduplicated once for every use
+    model = train(items.select("text", F.col("expected").alias("lang")), AUDITED)
+    segments = identify(spread(items.where(F.length("text") >= 15)), "item_id", "text", model, "expected").select("item_id", "expected", F.explode("segments").alias("s"))
+    occurs = segments.where((F.col("s.words") >= MIN_WORDS) & (F.col("s.confidence") >= 0.5)).select("item_id", "expected", F.col("s.lang").alias("lang"))
+    return occurs.where(~F.col("lang").eqNullSafe(F.col("expected"))).select("item_id", "lang").distinct()
