@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +34,14 @@ def token_sizes(df: DataFrame, key: str, text: str, *carried: str, path: str = T
 
     Loss-bearing are the tokens behind the first paragraph, the prompt of an example; a
     text of one paragraph bears loss throughout. Null and empty texts have no tokens. The
-    file is read by each worker from ``path``, a parameter; it is not shipped.
+    file at ``path`` is sent to the workers where the driver has it, else read there.
     """
+    shipped = os.path.exists(path)
+    if shipped:
+        df.sparkSession.sparkContext.addFile(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoding(path)
+        enc = encoding(SparkFiles.get(os.path.basename(path)) if shipped else path)
         for pdf in batches:
             total, loss = [], []
             for t in pdf["_text"]:
