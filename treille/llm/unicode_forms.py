@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from treille.plans.lineage import cut
+
 # Compatibility tags whose forms read as the same letters.
 SAME_LETTER_TAGS = ("<wide>", "<narrow>", "<noBreak>", "<compat>", "<font>", "<small>", "<vertical>", "<initial>", "<medial>", "<final>", "<isolated>")
 
@@ -157,27 +159,27 @@ def canonical_forms(df: DataFrame, text: str, out: str = "canonical") -> DataFra
     spark = df.sparkSession
     plain = F.col("t").rlike(r"^[\x20-\x7E\t\r\n]*$")
     distinct = df.select(F.col(text).alias("t")).where("t is not null").distinct()
-    return (
-        distinct.where(plain).select("t", F.col("t").alias("c"))
-        .unionByName(_rebuilt(spark, distinct.where(~plain)))
-        .select(F.col("t").alias(text), F.col("c").alias(out))
-    )
+    # a number for each text: its code points carry that, and the text is joined back once
+    distinct = cut(distinct.select("t", plain.alias("plain"), F.monotonically_increasing_id().alias("id")), "texts")
+    forms = distinct.where("plain").select("t", F.col("t").alias("c")).unionByName(_rebuilt(spark, distinct.where("not plain").select("id", "t")))
+    return cut(forms.select(F.col("t").alias(text), F.col("c").alias(out)), "forms")
 
 
 def _rebuilt(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """(t, c): the consistent form of texts (id, t)."""
     parts = F.broadcast(spark.createDataFrame(decomposition_rows(), "ch string, parts array<struct<c:string,k:int>>"))
     alike = F.broadcast(spark.createDataFrame(look_alike_rows(), "l string, own string, latin string, greek string, cyrillic string, armenian string"))
 
-    points = texts.select("t", F.posexplode(F.split("t", "")).alias("pos", "ch")).where("ch <> ''")
+    points = texts.select("id", F.posexplode(F.split("t", "")).alias("pos", "ch")).where("ch <> ''")
     points = (
         points.join(parts, "ch", "left")
-        .select("t", "pos", F.posexplode(F.coalesce("parts", F.array(F.struct(F.col("ch").alias("c"), F.lit(0).alias("k"))))).alias("sub", "part"))
-        .select("t", "pos", "sub", F.col("part.c").alias("c"), F.col("part.k").alias("k"))
+        .select("id", "pos", F.posexplode(F.coalesce("parts", F.array(F.struct(F.col("ch").alias("c"), F.lit(0).alias("k"))))).alias("sub", "part"))
+        .select("id", "pos", "sub", F.col("part.c").alias("c"), F.col("part.k").alias("k"))
     )
     points = points.join(alike, points["c"] == alike["l"], "left").withColumn("own", F.coalesce("own", _scripts_expr(F.col("c"))))
 
-    line = Window.partitionBy("t").orderBy("pos", "sub")
-    whole, word = Window.partitionBy("t"), Window.partitionBy("t", "w")
+    line = Window.partitionBy("id").orderBy("pos", "sub")
+    whole, word = Window.partitionBy("id"), Window.partitionBy("id", "w")
     boundary = F.when((F.col("own").isNull()) & (F.col("k") == 0), 1).otherwise(0)
     points = points.withColumns({"w": F.sum(boundary).over(line), "seg": F.sum(F.when(F.col("k") == 0, 1).otherwise(0)).over(line)})
     sure = lambda s: F.when((F.col("own") == s) & F.col("l").isNull(), 1).otherwise(0)
@@ -192,26 +194,31 @@ def _rebuilt(spark: SparkSession, texts: DataFrame) -> DataFrame:
     points = points.withColumn("script", F.coalesce(winner(word, sure), winner(whole, sure), winner(word, writable, own)))
     told = F.coalesce(*[F.when(F.col("script") == s, F.col(s.lower())) for s in SCRIPTS], F.col("c"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "k", "pos", "sub", told.alias("c")))), lambda x: x["c"]), "")
-    rebuilt = points.groupBy("t").agg(text.alias("c"))
+    rebuilt = points.groupBy("id").agg(text.alias("c"))
     # texts of invisible characters alone have no points left
-    return texts.join(rebuilt, "t", "left").select("t", recompose(F.coalesce("c", F.lit(""))).alias("c"))
+    return texts.join(rebuilt, "id", "left").select("t", recompose(F.coalesce("c", F.lit(""))).alias("c"))
 
 
-def same_looking_pairs(df: DataFrame, key: str, text: str, within: list[str] | None = None) -> DataFrame:
-    """Pairs (id_a < id_b) of different keys whose texts differ as stored but have one consistent form.
+def same_looking(df: DataFrame, key: str, text: str, within: list[str] | None = None) -> DataFrame:
+    """(form, within..., id, text): the rows of the classes that hold one consistent form written in more than one way.
 
     ``within`` names columns that must be equal too. Rows with a null key, text or
-    ``within`` column are in no pair; a key delivered again counts once.
+    ``within`` column are in no class; a key delivered again counts once. The classes are
+    linear in the rows; pairs are only made of them by same_looking_pairs.
     """
     within = within or []
     rows = df.select(F.col(key).alias("_id"), F.col(text).alias("_t"), *[F.col(c).alias(f"_w{i}") for i, c in enumerate(within)])
     rows = rows.dropna().distinct()
-    forms = canonical_forms(rows, "_t", "_c")
-    rows = rows.join(forms, "_t")
+    rows = rows.join(canonical_forms(rows, "_t", "_c"), "_t")
     on = [f"_w{i}" for i in range(len(within))] + ["_c"]
-    # only forms written in more than one way can give pairs
     mixed = rows.groupBy(*on).agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).where("lo <> hi").select(*on)
-    rows = rows.join(mixed, on, "left_semi")
+    return cut(rows.join(mixed, on, "left_semi").select("_c", *on[:-1], "_id", "_t"), "classes")
+
+
+def same_looking_pairs(df: DataFrame, key: str, text: str, within: list[str] | None = None) -> DataFrame:
+    """Pairs (id_a < id_b) of different keys whose texts differ as stored but have one consistent form; see same_looking."""
+    rows = same_looking(df, key, text, within)
+    on = [c for c in rows.columns if c not in ("_id", "_t")]
     a, b = rows.alias("a"), rows.alias("b")
     cond = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on] + [F.col("a._id") < F.col("b._id"), F.col("a._t") != F.col("b._t")]
     return a.join(b, functools.reduce(lambda x, y: x & y, cond)).select(F.col("a._id").alias("id_a"), F.col("b._id").alias("id_b")).distinct()
