@@ -46,15 +46,15 @@ def bytes_of(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, size: int | None = None) -> DataFrame:
     """``df`` over enough partitions for every core, for steps whose work is in Python and not in bytes.
 
     Only a table too small to occupy the cores by its own splits is shuffled. A larger one
     stays as its scan cuts it or as adaptive execution sizes it: a shuffle of all its bytes
-    would bring nothing.
+    would bring nothing. ``size`` stands for the planner's estimate where the caller knows better.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if bytes_of(df) > 2 * cores * SPLIT:
+    if (bytes_of(df) if size is None else size) > 2 * cores * SPLIT:
         return df
     return df.repartition(max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
