@@ -16,14 +16,12 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from treille.functions.similarity import deletions
 from treille.llm.language_mix import fold
 from treille.operators.dedup import once_per_key
-from treille.plans.lineage import cut, spread
+from treille.plans.lineage import bytes_of, cut, spread
 
 WORD = re.compile(r"[^\W\d_]+")
 INITIAL = 0.5  # how far a single letter stands for a word it begins
@@ -104,14 +102,43 @@ def _units(values: DataFrame, longest: int) -> DataFrame:
     return spread(values).mapInPandas(parse, "value string, at int, until int, unit string")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _variants(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: list(deletions(w, edits_allowed(len(w) + 1))))
+def _most(length: Column) -> Column:
+    return F.when(length < 3, 0).when(length < 6, 1).otherwise(2)
 
 
-@F.pandas_udf(T.IntegerType())
-def _distances(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([distance(x, y, edits_allowed(max(len(x), len(y)))) for x, y in zip(a, b)], dtype="int32")
+def _variants(word: Column) -> Column:
+    """``word`` and what is left of it by as many deletions as a word one letter longer allows edits."""
+
+    def shorter(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+
+    none = F.array().cast("array<string>")
+    once = shorter(word)
+    most = _most(F.length(word) + 1)
+    return F.array_distinct(F.concat(F.array(word), F.when(most >= 1, once).otherwise(none), F.when(most >= 2, F.flatten(F.transform(once, shorter))).otherwise(none)))
+
+
+def _distance(a: Column, b: Column) -> Column:
+    """Edits from a to b up to 2, a swap of neighbours being one, else 3; all in the JVM, as distance() has it."""
+    plain = F.levenshtein(a, b, 4)  # -1 beyond: out of reach, as a swap saves one edit
+    at = lambda w, i: F.substring(w, i, F.lit(1))
+    crossed = lambda i, j: (at(a, i) == at(b, j + 1)) & (at(a, i + 1) == at(b, j))
+    differ = F.filter(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: at(a, i) != at(b, i))
+    same_size, d = F.length(a) == F.length(b), lambda k: F.get(differ, F.lit(k))
+    one_swap = same_size & (F.size(differ) == 2) & (d(1) == d(0) + 1) & crossed(d(0), d(0))
+    two_swaps = same_size & (F.size(differ) == 4) & (d(1) == d(0) + 1) & (d(3) == d(2) + 1) & crossed(d(0), d(0)) & crossed(d(2), d(2))
+
+    def swap_and_edit(i: Column) -> Column:
+        found = F.lit(False)
+        for shift in (-1, 0, 1):  # where the swapped letters of a stand in b
+            j = i + shift
+            before = F.levenshtein(F.substring(a, F.lit(1), i - 1), F.substring(b, F.lit(1), j - 1), 1)
+            after = F.levenshtein(F.substring(a, i + 2, F.length(a)), F.substring(b, j + 2, F.length(b)), 1)
+            found = found | ((j >= 1) & crossed(i, j) & (before >= 0) & (after >= 0) & (before + after <= 1))
+        return found
+
+    swapped = F.exists(F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), swap_and_edit)
+    return F.when((plain >= 0) & (plain <= 1), plain).when(one_swap, 1).when(plain == 2, 2).when((plain > 2) & (two_swaps | swapped), 2).otherwise(3)
 
 
 def repair_tokens(units: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -120,12 +147,12 @@ def repair_tokens(units: DataFrame, vocabulary: DataFrame) -> DataFrame:
     The vocabulary's shortened forms are broadcast only where its counted size bounds them
     (BROADCAST_WORDS words make at most some 100 MB); a larger one is joined by shuffle.
     """
-    left = spread(units).select("unit", F.explode(_variants("unit")).alias("x"))
-    right = vocabulary.select("v", F.explode(_variants("v")).alias("x"))
+    left = spread(units).select("unit", F.explode(_variants(F.col("unit"))).alias("x"))
+    right = vocabulary.select("v", F.explode(_variants(F.col("v"))).alias("x"))
     right = F.broadcast(right) if vocabulary.count() <= BROADCAST_WORDS else right.hint("merge")
     pairs = left.join(right, "x").where(F.levenshtein("unit", "v", 4) >= 0).select("unit", "v").distinct()
-    near = spread(pairs).withColumn("d", _distances("unit", "v"))
-    return near.where(F.col("d") <= F.when(F.greatest(F.length("unit"), F.length("v")) < 3, 0).when(F.greatest(F.length("unit"), F.length("v")) < 6, 1).otherwise(2))
+    near = pairs.withColumn("d", _distance(F.col("unit"), F.col("v")))
+    return near.where(F.col("d") <= _most(F.greatest(F.length("unit"), F.length("v"))))
 
 
 def _score(toks: list, units: list, v_glued: str | None) -> float:
@@ -186,7 +213,7 @@ def map_values(values: DataFrame, text: str, entries: DataFrame, entry_id: str,
             scores = [_score(t, u, g) for t, u, g in zip(pdf["toks"], pdf["units"], pdf["glued"])]
             yield pd.DataFrame({"value": pdf["value"], "id": pdf["id"], "score": scores})
 
-    ranked = spread(rows).mapInPandas(rank, "value string, id bigint, score double").where(F.col("score") >= COVERED)
+    ranked = spread(rows, 4 * bytes_of(matched)).mapInPandas(rank, "value string, id bigint, score double").where(F.col("score") >= COVERED)
     best = ranked.groupBy("value").agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("b"))
     return best.select(F.col("value").alias(text), (-F.col("b.neg")).alias("id"), F.col("b.score").alias("score"))
 
