@@ -29,6 +29,41 @@ def test_same_pairs_as_all_pairs(spark, p, q, least, part):
     assert set(got) == brute(records, p, q)
 
 
+@pytest.mark.parametrize("p,q,part", [(3, 4, 2000), (3, 4, 3), (1, 3, 4)])
+def test_two_tables_as_all_pairs(spark, p, q, part):
+    rng = random.Random(p + part)
+    left = {i: set(rng.sample("abcdefghijk", rng.randint(1, 8))) for i in range(70)}
+    right = {i: set(left[i]) ^ set(rng.sample("abcdefgh", rng.randint(0, 2))) if i < 30 else set(rng.sample("abcdefghijk", rng.randint(0, 8))) for i in range(60)}
+    frame = lambda x: spark.createDataFrame([(k, sorted(v)) for k, v in x.items()], "rec long, vals array<string>")
+    (a, of_a), (b, of_b) = s._classes(frame(left)), s._classes(frame(right))
+    got = [tuple(r) for r in s.expand_between(of_a, of_b, s.links_between(a, b, p, q, part)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(x, y) for x, u in left.items() for y, v in right.items() if u & v and q * len(u & v) >= p * len(u | v)}
+    assert s.expand_between(*s.similar_between(frame(left), frame(right).limit(0))).count() == 0
+
+
+def test_a_hot_key_is_joined_in_bounded_blocks(spark, monkeypatch):
+    """Thousands of records share their rarest values: no task holds more than two blocks, and no link is lost."""
+    rng = random.Random(9)
+    records = {i: {"x", "y", *(f"v{j}" for j in rng.sample(range(60), 6))} for i in range(3000)}
+    df = spark.createDataFrame([(k, sorted(v)) for k, v in records.items()], "rec long, vals array<string>")
+    classes, _ = s._classes(df)
+    ids = spark.createDataFrame([(v, i) for i, v in enumerate(["x", "y", *(f"v{j}" for j in range(60))])], "v string, id long")
+    monkeypatch.setattr(s, "_ids", lambda sets: ids)  # the values all share count as the rarest
+    sizes = []
+    joined = s._joined
+    monkeypatch.setattr(s, "_joined", lambda blocked, p, q: (sizes.append(blocked.groupBy("k1", "k2", "part").count().agg({"count": "max"}).first()[0]), joined(blocked, p, q))[1])
+    got = {(r["cid_a"], r["cid_b"]) for r in s.class_links(classes, 3, 4, 300).collect()}
+    kept = {r["cid"]: records[r["cid"]] for r in classes.collect()}
+    assert sizes[0] <= 2 * 450
+    by = {}
+    for k, v in kept.items():
+        for w in itertools.combinations(sorted(v - {"x", "y"}), 5):
+            by.setdefault(w, []).append(k)
+    want = {(min(a, b), max(a, b)) for group in by.values() for a, b in itertools.combinations(group, 2)}
+    assert got == want
+
+
 def test_t_occurrence_skips_but_loses_nothing():
     rng = random.Random(5)
     for _ in range(200):

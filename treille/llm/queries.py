@@ -9,6 +9,7 @@ QUERIES = {
     "p2_found": scan_repair.found,
     "p2_repaired": scan_repair.repaired_fields,
     "p3_found": set_join.found,
+    "p3_between": set_join.between,
     "p4_found": language_mix.found,
     "p5_found": cooccur.found,
     "p6_found": canonical_map.found,
@@ -24,5 +25,6 @@ QUERIES = {
 
 ORACLE = {
     "p3_found": set_join.FOUND_SQL,
+    "p3_between": set_join.BETWEEN_SQL,
     "p5_found": cooccur.FOUND_SQL,
 }

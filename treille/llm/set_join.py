@@ -4,10 +4,11 @@ A pair with Jaccard similarity p/q or more shares at least T = ceil(p(n+m)/(p+q)
 The inverted lists are partitioned by the rarest values: sets that share T >= 2 values
 share their two rarest common ones, and those lie in the first n-T+2 values of either set
 ordered by frequency. Each partition therefore holds the lists of the records with one
-pair of rare values; hot partitions are salted, with every record probing each part.
-Inside a partition a record's lists are merged with a heap that skips what can't reach T,
-and the longest lists are only searched by bisection. Records with equal sets are one
-class; links between classes and the members of each class hold all pairs.
+pair of rare values; a hot partition is cut into blocks of bounded size and joined block by
+block. Inside a partition a record's lists are merged with a heap that skips what can't
+reach T, and the longest lists are only searched by bisection. Records with equal sets are
+one class; links between classes and the members of each class hold all pairs. Two tables
+are joined in the same way, each block of one with each block of the other.
 """
 
 from __future__ import annotations
@@ -89,19 +90,27 @@ def t_occurrence(lists: list[list[int]], need: int, start: int, longest: int) ->
                     heapq.heappush(heap, (short[i][at], i, at))
 
 
-def _join_group(k1: int, k2: int, rows: list[tuple[int, list[int], bool]], p: int, q: int) -> Iterator[tuple[int, int, int]]:
-    """Links of one partition of the inverted lists; k2 < 0 where the key is one value."""
-    rows.sort(key=lambda r: (len(r[1]), r[0]))
-    index: dict[int, list[int]] = {}
-    for at, (_, values, indexed) in enumerate(rows):
-        if indexed:
-            for v in values:
-                index.setdefault(v, []).append(at)
+def _join_group(k1: int, k2: int, rows: list[tuple[int, list[int], int]], across: bool, p: int, q: int) -> Iterator[tuple[int, int, int]]:
+    """Links of one partition of the inverted lists; k2 < 0 where the key is one value.
+
+    Rows are (record, values, block). ``across``: only links between the two blocks, the
+    record of the lesser block first.
+    """
+    rows.sort(key=lambda r: (len(r[1]), r[0], r[2]))
+    index: dict[int, dict[int, list[int]]] = {}
+    for at, (_, values, block) in enumerate(rows):
+        lists = index.setdefault(block, {})
+        for v in values:
+            lists.setdefault(v, []).append(at)
+    blocks = sorted(index)
+    if across and len(blocks) < 2:
+        return
     single = k2 < 0
-    for at, (rec, values, _) in enumerate(rows):
+    for at, (rec, values, block) in enumerate(rows):
         n = len(values)
         need = required(n, n, p, q)
-        lists = [index[v] for v in values if v in index]
+        own_lists = index[blocks[1] if block == blocks[0] else blocks[0]] if across else index[block]
+        lists = [own_lists[v] for v in values if v in own_lists]
         if len(lists) < need:
             continue
         size = max(map(len, lists))
@@ -117,20 +126,11 @@ def _join_group(k1: int, k2: int, rows: list[tuple[int, list[int], bool]], p: in
             shared = [v for v in values2 if v in own]  # values2 is ordered
             alone = min(-(-p * n // q), -(-p * m // q)) < 2
             if alone == single and shared[0] == k1 and (single or shared[1] == k2):
-                yield rec, rec2, count
-
+                yield (rec2, rec, count) if across and block == blocks[1] else (rec, rec2, count)
 
-def class_links(classes: DataFrame, p: int = 3, q: int = 4, part_rows: int = 2000) -> DataFrame:
-    """(cid_a, cid_b, overlap) for pairs of different sets with Jaccard similarity p/q or more.
 
-    ``classes`` has (cid long, vals array of distinct strings), a row per distinct set.
-    Empty sets have no links. ``part_rows`` is the size above which a partition of the
-    inverted lists is salted.
-    """
-    classes = classes.where(F.size("vals") > 0)
-    counts = classes.select(F.explode("vals").alias("v")).groupBy("v").agg(F.count("*").alias("freq"))
-    # ids that rise with the frequency: the sort is by range, so ids rise over its partitions
-    ids = cut(counts.orderBy("freq", "v").select("v", F.monotonically_increasing_id().alias("id")), "values")
+def _entries(classes: DataFrame, ids: DataFrame, p: int, q: int) -> DataFrame:
+    """(k1, k2, cid, s): every set under the keys of the partitions it belongs to, its values as numbers that rise with the frequency."""
     sets = classes.select("cid", F.explode("vals").alias("v")).join(ids, "v").groupBy("cid").agg(F.array_sort(F.collect_list("id")).alias("s"))
     n = F.size("s")
     least = F.ceil(n * p / F.lit(q)).cast("int")
@@ -140,31 +140,78 @@ def class_links(classes: DataFrame, p: int = 3, q: int = 4, part_rows: int = 200
     ones = F.transform(F.slice("s", 1, n - least + 1), lambda x: F.struct(x.alias("k1"), F.lit(-1).cast("long").alias("k2")))
     none = F.array().cast("array<struct<k1:bigint,k2:bigint>>")
     keys = F.concat(F.when(least >= 2, pairs).otherwise(none), F.when(lowest < 2, ones).otherwise(none))
-    entries = sets.select("cid", "s", F.explode(keys).alias("k")).select("k.k1", "k.k2", "cid", "s")
-    shared = entries.groupBy("k1", "k2").agg(F.count("*").alias("rows")).where("rows > 1")
-    salted = entries.join(shared, ["k1", "k2"]).withColumn("salts", F.ceil(F.col("rows") / part_rows).cast("int"))
-    salted = salted.select("k1", "k2", "cid", "s", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    salted = salted.select("k1", "k2", "salt", "cid", "s", (F.pmod(F.xxhash64("cid"), F.col("salts")) == F.col("salt")).alias("indexed"))
+    return sets.select("cid", "s", F.explode(keys).alias("k")).select("k.k1", "k.k2", "cid", "s")
+
+
+def _ids(sets: DataFrame) -> DataFrame:
+    """(v, id): a number for each value that rises with its frequency: the sort is by range, so numbers rise over its partitions."""
+    counts = sets.select(F.explode("vals").alias("v")).groupBy("v").agg(F.count("*").alias("freq"))
+    return cut(counts.orderBy("freq", "v").select("v", F.monotonically_increasing_id().alias("id")), "values")
+
+
+def _joined(blocked: DataFrame, p: int, q: int) -> DataFrame:
+    """(a, b, overlap) of rows (k1, k2, part, block, across, cid, s), each (k1, k2, part) in one task."""
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, rows, out = None, [], []
         for pdf in batches:
-            for k1, k2, salt, cid, s, indexed in zip(*[pdf[c] for c in ("k1", "k2", "salt", "cid", "s", "indexed")]):
-                if (k1, k2, salt) != key:
+            for k1, k2, part, block, across, cid, s in zip(*[pdf[c] for c in ("k1", "k2", "part", "block", "across", "cid", "s")]):
+                if (k1, k2, part, across) != key:
                     if len(rows) > 1:
-                        out.extend(_join_group(key[0], key[1], rows, p, q))
-                    key, rows = (k1, k2, salt), []
+                        out.extend(_join_group(key[0], key[1], rows, key[3], p, q))
+                    key, rows = (k1, k2, part, across), []
                     if len(out) > 20_000:
-                        yield pd.DataFrame(out, columns=["cid_a", "cid_b", "overlap"])
+                        yield pd.DataFrame(out, columns=["a", "b", "overlap"])
                         out = []
-                rows.append((cid, s.tolist(), indexed))
+                rows.append((cid, s.tolist(), block))
         if len(rows) > 1:
-            out.extend(_join_group(key[0], key[1], rows, p, q))
-        yield pd.DataFrame(out, columns=["cid_a", "cid_b", "overlap"])
+            out.extend(_join_group(key[0], key[1], rows, key[3], p, q))
+        yield pd.DataFrame(out, columns=["a", "b", "overlap"])
+
+    grouped = blocked.repartition("k1", "k2", "part").sortWithinPartitions("k1", "k2", "part")
+    return grouped.mapInPandas(join, "a bigint, b bigint, overlap int")
+
+
+def class_links(classes: DataFrame, p: int = 3, q: int = 4, part_rows: int = 2000) -> DataFrame:
+    """(cid_a, cid_b, overlap) for pairs of different sets with Jaccard similarity p/q or more.
+
+    ``classes`` has (cid long, vals array of distinct strings), a row per distinct set.
+    Empty sets have no links. A partition of the inverted lists of more than ``part_rows``
+    rows is cut into blocks of about that size, and each pair of blocks is a task's work.
+    """
+    classes = classes.where(F.size("vals") > 0)
+    entries = _entries(classes, _ids(classes), p, q)
+    shared = entries.groupBy("k1", "k2").agg(F.count("*").alias("rows")).where("rows > 1").withColumn("blocks", F.ceil(F.col("rows") / part_rows).cast("int"))
+    blocked = entries.join(shared, ["k1", "k2"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    blocked = blocked.select("k1", "k2", "cid", "s", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    part = F.least("block", "with").cast("long") * F.col("blocks") + F.greatest("block", "with")
+    links = _joined(blocked.select("k1", "k2", part.alias("part"), "block", (F.col("block") != F.col("with")).alias("across"), "cid", "s"), p, q)
+    return links.select(F.least("a", "b").alias("cid_a"), F.greatest("a", "b").alias("cid_b"), "overlap")
+
 
-    grouped = salted.repartition("k1", "k2", "salt").sortWithinPartitions("k1", "k2", "salt")
-    links = grouped.mapInPandas(join, "cid_a bigint, cid_b bigint, overlap int")
-    return links.select(F.least("cid_a", "cid_b").alias("cid_a"), F.greatest("cid_a", "cid_b").alias("cid_b"), "overlap")
+def links_between(left: DataFrame, right: DataFrame, p: int = 3, q: int = 4, part_rows: int = 2000) -> DataFrame:
+    """(cid_a, cid_b, overlap) for pairs of a set of ``left`` and one of ``right`` with Jaccard similarity p/q or more, equal ones too.
+
+    Both have (cid long, vals array of distinct strings), a row per distinct set; their ids
+    are apart from each other.
+    """
+    left, right = left.where(F.size("vals") > 0).select("cid", "vals"), right.where(F.size("vals") > 0).select("cid", "vals")
+    ids = _ids(left.unionByName(right))
+    l, r = _entries(left, ids, p, q), _entries(right, ids, p, q)  # noqa: E741
+    count = lambda e, n: e.groupBy("k1", "k2").agg(F.ceil(F.count("*") / part_rows).cast("int").alias(n))
+    shared = count(l, "bl").join(count(r, "br"), ["k1", "k2"])
+    block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    l = l.join(shared, ["k1", "k2"]).withColumn("b", block("bl")).select("*", F.explode(F.sequence(F.lit(0), F.col("br") - 1)).alias("with"))  # noqa: E741
+    r = r.join(shared, ["k1", "k2"]).withColumn("b", block("br")).select("*", F.explode(F.sequence(F.lit(0), F.col("bl") - 1)).alias("with"))
+    l = l.select("k1", "k2", (F.col("b").cast("long") * F.col("br") + F.col("with")).alias("part"), F.lit(0).alias("block"), F.lit(True).alias("across"), "cid", "s")  # noqa: E741
+    r = r.select("k1", "k2", (F.col("with").cast("long") * F.col("br") + F.col("b")).alias("part"), F.lit(1).alias("block"), F.lit(True).alias("across"), "cid", "s")
+    return _joined(l.unionByName(r), p, q).select(F.col("a").alias("cid_a"), F.col("b").alias("cid_b"), "overlap")
+
+
+def _classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    records = records.select("rec", "vals")
+    classes = cut(records.groupBy("vals").agg(F.min("rec").alias("cid")), "classes")
+    return classes, cut(records.join(classes, "vals").select("rec", "cid"), "members")
 
 
 def similar_sets(records: DataFrame, p: int = 3, q: int = 4) -> tuple[DataFrame, DataFrame]:
@@ -173,12 +220,26 @@ def similar_sets(records: DataFrame, p: int = 3, q: int = 4) -> tuple[DataFrame,
     Records with equal sets share the cid, the least of their keys. Ties, repeated rows and
     extra columns don't matter; an empty table gives two empty tables.
     """
-    records = records.select("rec", "vals")
-    classes = cut(records.groupBy("vals").agg(F.min("rec").alias("cid")), "classes")
-    members = cut(records.join(classes, "vals").select("rec", "cid"), "members")
+    classes, members = _classes(records)
     return members, class_links(classes.select("cid", "vals"), p, q)
 
 
+def similar_between(left: DataFrame, right: DataFrame, p: int = 3, q: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members of left, members of right, links(cid_a of left, cid_b of right, overlap)) of two tables (rec long, vals array<string>).
+
+    The same key in both tables is two records. An empty table gives no links.
+    """
+    (a, of_a), (b, of_b) = _classes(left), _classes(right)
+    return of_a, of_b, links_between(a, b, p, q)
+
+
+def expand_between(of_a: DataFrame, of_b: DataFrame, links: DataFrame) -> DataFrame:
+    """(rec_a of left, rec_b of right): the pairs behind the classes and links of two tables."""
+    a = of_a.select(F.col("rec").alias("rec_a"), F.col("cid").alias("cid_a"))
+    b = of_b.select(F.col("rec").alias("rec_b"), F.col("cid").alias("cid_b"))
+    return links.join(a, "cid_a").join(b, "cid_b").select("rec_a", "rec_b")
+
+
 def expand(members: DataFrame, links: DataFrame) -> DataFrame:
     """(rec_a < rec_b): the pairs behind classes and links."""
     a = members.select(F.col("rec").alias("ra"), F.col("cid").alias("cid_a"))
@@ -195,6 +256,14 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
     return expand(*similar_sets(records, 3, 4))
 
 
+def between(spark: SparkSession, folder: str) -> DataFrame:
+    """Denominations against sub-denominations: (rec_a, rec_b) with sets of 6 values or more alike by 3/4."""
+    wines = spark.read.parquet(f"{folder}/wine_index.parquet")
+    columns = ["styles", "grapes_principal", "grapes_accessory"]
+    whole, part = wines.where("is_sub_denomination = false"), wines.where("is_sub_denomination")
+    return expand_between(*similar_between(value_sets(whole, "rec_id", columns, 6), value_sets(part, "rec_id", columns, 6), 3, 4))
+
+
 FOUND_SQL = """
 WITH v AS (
   SELECT DISTINCT rec_id, x FROM (
@@ -206,3 +275,16 @@ o AS (SELECT a.rec_id ra, b.rec_id rb, count(*) c FROM v a JOIN v b ON a.x = b.x
 SELECT ra AS rec_a, rb AS rec_b FROM o JOIN n na ON na.rec_id = ra JOIN n nb ON nb.rec_id = rb
 WHERE 4 * o.c >= 3 * (na.c + nb.c - o.c)
 """
+
+BETWEEN_SQL = """
+WITH w AS (SELECT DISTINCT rec_id, is_sub_denomination sub, styles, grapes_principal, grapes_accessory FROM wine_index),
+v AS (
+  SELECT DISTINCT rec_id, sub, x FROM (
+    SELECT rec_id, sub, unnest(styles) x FROM w UNION ALL
+    SELECT rec_id, sub, unnest(grapes_principal) FROM w UNION ALL
+    SELECT rec_id, sub, unnest(grapes_accessory) FROM w) WHERE x IS NOT NULL),
+n AS (SELECT rec_id, count(*) c FROM v GROUP BY 1 HAVING count(*) >= 6),
+o AS (SELECT a.rec_id ra, b.rec_id rb, count(*) c FROM v a JOIN v b ON a.x = b.x AND NOT a.sub AND b.sub GROUP BY 1, 2)
+SELECT ra AS rec_a, rb AS rec_b FROM o JOIN n na ON na.rec_id = ra JOIN n nb ON nb.rec_id = rb
+WHERE 4 * o.c >= 3 * (na.c + nb.c - o.c)
+"""
