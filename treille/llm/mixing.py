@@ -1,6 +1,7 @@
 """Mixing sources to target weights by hierarchical budgets.
 
-Sources are the leaves of a tree of domains and languages. The total budget flows down by
+Sources are the leaves of a tree of domains and languages, given or read off the documents
+(the commonest kind of a source's tokens, and the language most of them have). The total budget flows down by
 weight; a leaf takes at most its size times its allowed repeats, and what it can't take
 goes to its siblings by their weights, then to the siblings of its language, then of its
 domain. A leaf's budget is whole epochs of its documents and a token-prefix of one more
@@ -14,24 +15,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from treille.llm.language_mix import language_code
 from treille.llm.tokens import token_sizes
 from treille.plans.lineage import cut
 
 RANGES = 1 << 16  # ranges of the hash; one holds 1/65536 of a source
 SEED = 20_240_101
 
-# The language a source's name begins with.
-SOURCE_LANGUAGE = {"be": "nl", "bg": "bg", "de": "de", "es": "es", "fr": "fr", "gr": "el", "it": "it", "mt": "mt", "pt": "pt"}
+NOWHERE = ("", "")  # place of a source the tree doesn't name
 
 
-def place(source: str) -> tuple[str, str]:
-    """(domain, language) of a source: national documents by language, encyclopedia, derived texts."""
-    head = source.split("-")[0]
-    if head in SOURCE_LANGUAGE:
-        return "regulation", SOURCE_LANGUAGE[head]
-    if head == "wiki":
-        return "encyclopedia", "mul"
-    return "derived", "mul"
+def tree_of(sized: DataFrame, source: str, domain: str, language: str, least: float = 0.5) -> DataFrame:
+    """(source, domain, language): the label most of a source's tokens have; null labels count as none.
+
+    A source without a language of at least the part ``least`` is ``mul``, one without any label too.
+
+    Ties go to the label first by code point. Sources without tokens are left out.
+    """
+    rows = sized.select(F.col(source).alias("source"), F.col(domain).alias("domain"), F.col(language).alias("language"), "tokens").where("source is not null and tokens > 0")
+    rows = rows.groupBy("source", "domain", "language").agg(F.sum("tokens").alias("n"))
+
+    def most(label: str, least: float) -> DataFrame:
+        by = rows.groupBy("source", label).agg(F.sum("n").alias("n"))
+        best = by.where(F.col(label).isNotNull()).groupBy("source").agg(F.max("n").alias("top"), F.min_by(label, F.struct(-F.col("n"), label)).alias(label))
+        told = best.join(by.groupBy("source").agg(F.sum("n").alias("all")), "source", "right")
+        return told.select("source", F.when(F.col("top") >= least * F.col("all"), F.col(label)).otherwise("mul").alias(label))
+
+    return most("domain", 0.0).join(most("language", least), "source")
 
 
 def share_out(amount: float, nodes: list[tuple[float, float]]) -> list[float]:
@@ -54,11 +64,14 @@ def share_out(amount: float, nodes: list[tuple[float, float]]) -> list[float]:
     return got
 
 
-def budgets(leaves: list[tuple[str, float, float]], total: float, where=place) -> dict[str, float]:
-    """Budget by source from (source, weight, most): shortages go to siblings before ancestors' siblings."""
+def budgets(leaves: list[tuple[str, float, float]], total: float, where=lambda source: NOWHERE) -> dict[str, float]:
+    """Budget by source from (source, weight, most): shortages go to siblings before ancestors' siblings.
+
+    ``where`` gives (domain, language) of a source, or None for NOWHERE.
+    """
     tree: dict[str, dict[str, list[tuple[str, float, float]]]] = {}
     for leaf in leaves:
-        domain, lang = where(leaf[0])
+        domain, lang = where(leaf[0]) or NOWHERE
         tree.setdefault(domain, {}).setdefault(lang, []).append(leaf)
     got = {leaf[0]: 0.0 for leaf in leaves}
     weight = sum(w for _, w, _ in leaves) or 1.0
@@ -83,10 +96,11 @@ def budgets(leaves: list[tuple[str, float, float]], total: float, where=place) -
     return got
 
 
-def mixture(sized: DataFrame, key: str, source: str, targets: list[tuple[str, float, int]], total: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def mixture(sized: DataFrame, key: str, source: str, targets: list[tuple[str, float, int]], tree: DataFrame | None = None, total: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(chosen(key, source, tokens, repeats), shares) of documents (key, source, tokens).
 
-    ``total`` is the size of the mixture in tokens, by default as much as the listed
+    ``tree`` is a table (source, domain, language), see tree_of; a source it doesn't name,
+    or every one without a tree, is a sibling of all such. ``total`` is the size of the mixture in tokens, by default as much as the listed
     sources hold. Documents without tokens, without source or of a source that isn't listed
     are not chosen. Shares has a row per target, also for sources without documents.
     """
@@ -99,7 +113,10 @@ def mixture(sized: DataFrame, key: str, source: str, targets: list[tuple[str, fl
     sizes = {r[0]: (r[1], r[2]) for r in ranges.groupBy("source").agg(F.sum("tokens"), F.sum("docs")).collect()}  # a row per target at most
     if total is None:
         total = sum(n for n, _ in sizes.values())
-    budget = budgets([(s, w, sizes.get(s, (0, 0))[0] * max(0, r)) for s, (w, r) in sorted(wanted.items())], total)
+    placed: dict[str, tuple[str, str]] = {}
+    if tree is not None:  # a row per target at most
+        placed = {r[0]: (r[1], r[2]) for r in tree.where(F.col("source").isin(list(wanted))).groupBy("source").agg(F.min(F.struct("domain", "language")).alias("at")).select("source", "at.domain", "at.language").collect()}
+    budget = budgets([(s, w, sizes.get(s, (0, 0))[0] * max(0, r)) for s, (w, r) in sorted(wanted.items())], total, placed.get)
 
     plan = []
     for s, (n, _) in sorted(sizes.items()):
@@ -126,7 +143,7 @@ def mixture(sized: DataFrame, key: str, source: str, targets: list[tuple[str, fl
 
     reached = {r[0]: (r[1], r[2]) for r in chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")), F.max("repeats")).collect()}
     all_ = sum(n for n, _ in reached.values()) or 1
-    rows = [(*place(s), s, float(w), budget[s] / total if total else 0.0, reached.get(s, (0, 0))[0] / all_, sizes.get(s, (0, 0))[0], reached.get(s, (0, 0))[0], int(r), reached.get(s, (0, 0))[1]) for s, (w, r) in sorted(wanted.items())]
+    rows = [(*placed.get(s, NOWHERE), s, float(w), budget[s] / total if total else 0.0, reached.get(s, (0, 0))[0] / all_, sizes.get(s, (0, 0))[0], reached.get(s, (0, 0))[0], int(r), reached.get(s, (0, 0))[1]) for s, (w, r) in sorted(wanted.items())]
     shares = spark.createDataFrame(rows, "domain string, language string, source string, target_share double, budget_share double, reached_share double, available_tokens bigint, mixed_tokens bigint, max_repeats int, most_repeats int")
     return chosen.select(F.col("id").alias(key), "source", "tokens", "repeats"), shares
 
@@ -139,8 +156,9 @@ def targets_of(spark: SparkSession, folder: str, most: int = 10_000) -> list[tup
 
 
 def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    sized = cut(token_sizes(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text", "source"), "sizes")
-    return mixture(sized, "doc_id", "source", targets_of(spark, folder))
+    sized = cut(token_sizes(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text", "source", "kind", "lang"), "sizes")
+    tree = tree_of(sized.withColumn("lang", language_code(F.col("lang"))), "source", "kind", "lang")
+    return mixture(sized, "doc_id", "source", targets_of(spark, folder), tree)
 
 
 def chosen(spark: SparkSession, folder: str) -> DataFrame:
