@@ -60,3 +60,13 @@ def test_the_registered_loss_limit_binds(spark):
     free = QUERIES["p7_packed"](spark, folder).toPandas()
     assert (free.groupby(["run_id", "container"]).loss_tokens.sum().reset_index().pipe(lambda x: x.loss_tokens > x.run_id.map(cap) * p.LOSS_SHARE)).any()
     assert out.tokens.sum() == free.tokens.sum()
+
+
+def test_every_limit_binds_somewhere(spark):
+    rng = random.Random(6)
+    rows = [(i, n, n if rng.random() < 0.8 else 0) for i, n in enumerate(rng.choice([2, 3, 4, 90, 200, 350]) for _ in range(3000))]
+    df = spark.createDataFrame(rows, "id long, tokens long, loss_tokens long")
+    got = p.pack(df, "id", [(1, 1024)], p.SEGMENTS_PER, p.BEARING).toPandas().groupby("container").agg({"tokens": "sum", "loss_tokens": "sum", "slot": "size"})
+    cap, most, bearing = 1024, 1024 // p.SEGMENTS_PER, int(1024 * p.BEARING)
+    assert (got.tokens <= cap).all() and (got.slot <= most).all() and (got.loss_tokens <= bearing).all()
+    assert (got.slot == most).any() and (got.loss_tokens >= bearing - 2).any()
