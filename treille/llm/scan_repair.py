@@ -91,6 +91,45 @@ def channel(right: str, read: str, most: int = 3) -> int:
     return min(rows[len(right)].get(len(read), inf), inf) if len(rows) > len(right) else inf
 
 
+class Automaton:
+    """Levenshtein automata up to ``most`` edits, one set of states for all words.
+
+    After d letters a state holds the edits at the word's positions d - most to d + most,
+    counted up to most + 1. The next state follows from the state and the bits that tell
+    which of those positions hold the letter read, so a step is one lookup; steps are
+    computed when first met.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.width = most, 2 * most + 1
+        self.full = (1 << self.width) - 1
+        first = tuple(min(max(i - most, 0) if i >= most else most + 1, most + 1) for i in range(self.width))
+        self.states, self.known = [first], {first: 0}
+        self.steps: list[dict[int, int]] = [{}]
+
+    def step(self, state: int, bits: int) -> int:
+        """The state behind ``state``, -1 where every position has more than ``most`` edits."""
+        edits, dead = self.states[state], self.most + 1
+        new: list[int] = []
+        for i in range(self.width):
+            right = edits[i] + (not bits >> i & 1)
+            new.append(min(right, edits[i + 1] + 1 if i + 1 < self.width else dead, new[-1] + 1 if new else dead, dead))
+        found = tuple(new)
+        if min(found) == dead:
+            at = -1
+        elif found in self.known:
+            at = self.known[found]
+        else:
+            at = self.known[found] = len(self.states)
+            self.states.append(found)
+            self.steps.append({})
+        self.steps[state][bits] = at
+        return at
+
+
+AUTOMATA = {most: Automaton(most) for most in (1, 2, 3)}
+
+
 class Trie:
     """Words by their letters; ``near`` intersects it with the Levenshtein automaton of a word."""
 
@@ -103,21 +142,28 @@ class Trie:
             node[""] = w
 
     def near(self, word: str, most: int) -> list[tuple[str, int]]:
-        found = []
-        width = len(word) + 1
-        stack = [(self.root, list(range(width)))]
+        automaton = AUTOMATA[most]
+        steps, states, full = automaton.steps, automaton.states, automaton.full
+        bits: dict[str, int] = {}
+        for i, c in enumerate(word):
+            bits[c] = bits.get(c, 0) | 1 << (i + most)  # position d - most is bit 0 after a shift by d
+        found, size = [], len(word)
+        stack = [(self.root, 0, 0)]
         while stack:
-            node, row = stack.pop()
+            node, depth, state = stack.pop()
+            known = steps[state]
             for c, child in node.items():
                 if c == "":
-                    if row[-1] <= most:
-                        found.append((child, row[-1]))
+                    at = size - depth + most
+                    if 0 <= at <= 2 * most and states[state][at] <= most:
+                        found.append((child, states[state][at]))
                     continue
-                new = [row[0] + 1]
-                for j in range(1, width):
-                    new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (word[j - 1] != c)))
-                if min(new) <= most:
-                    stack.append((child, new))
+                seen = bits.get(c, 0) >> depth & full
+                new = known.get(seen)
+                if new is None:
+                    new = automaton.step(state, seen)
+                if new >= 0:
+                    stack.append((child, depth + 1, new))
         return found
 
 
