@@ -14,6 +14,7 @@ removes the furniture, joins and corrects the words and reflows the paragraphs.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 import zlib
@@ -39,6 +40,9 @@ t>f l i   f>t   z>2 Z   Z>2   2>Z   é>6 e'   ll>U ii   U>ll   w>vv   vv>w   tt>
 
 HYPHENS = "-­‐¬"
 EDGE = 4  # lines at either edge of a page that can be furniture
+TITLE = 4  # lines with text, from the top, of which one is the title
+RATE = 1e-6  # least part of all edge lines that a furniture key makes up: at most 1/RATE keys are learned
+SALT_ROWS = 200_000  # suspects of a language and length that are looked up in one task
 WORD = re.compile(r"[^\s]+")
 OUTER = ".,;:?()[]{}«»“”„\"‘’'…–—•*·/\\"
 ROMAN = re.compile(r"^[ivxlc]+$")
@@ -173,7 +177,7 @@ PUT_BACK = str.maketrans("0156!|9", "olsbilg")
 
 def _title_line(lines: list[str]) -> int:
     """The line with the document's title: the first in capitals among its first few, else its first; -1 in an empty text."""
-    first = [i for i, x in enumerate(lines[:12]) if x.strip()][:4]
+    first = list(itertools.islice((i for i, x in enumerate(lines) if x.strip()), TITLE))
     capitals = [i for i in first if lines[i].upper() == lines[i] and sum(c.isalpha() for c in lines[i]) > 3]
     return (capitals or first or [-1])[0]
 
@@ -183,15 +187,25 @@ def _title(lines: list[str]) -> set[str]:
     return {w for w in re.findall(r"[^\W\d_]+", fold(lines[at])) if len(w) > 3} if at >= 0 else set()
 
 
-def line_key(line: str, title: set[str], near: bool = False) -> str:
-    """A line without what changes from page to page and document to document; ``near`` knows the title's words also misread."""
+def line_key(line: str, title: set[str], near: bool = False, told: dict[str, bool] | None = None) -> str:
+    """A line without what changes from page to page and document to document; ``near`` knows the title's words also misread.
+
+    ``told`` keeps what was found for the words of one title.
+    """
+    told = {} if told is None else told
+
+    def misread(w: str) -> bool:
+        if w not in told:
+            told[w] = any(abs(len(t) - len(w)) <= 2 and distance(w, t, 2) <= (2 if len(t) > 5 else 1) for t in title)
+        return told[w]
+
     out = []
     for w in re.findall(r"(?:[^\W_]|[!|](?=\w))+", fold(line)):
         if not w.isalpha() and sum(c.isalpha() for c in w) >= 2:
             w = w.translate(PUT_BACK)
         if ROMAN.match(w) or any(c.isdigit() for c in w):
             w = "#"
-        elif w in title or near and len(w) > 3 and any(abs(len(t) - len(w)) <= 2 and distance(w, t, 2) <= (2 if len(t) > 5 else 1) for t in title):
+        elif w in title or near and len(w) > 3 and misread(w):
             w = "@"
         if not (w in "#@" and out and out[-1] == w):
             out.append(w)
@@ -232,21 +246,35 @@ def _is_number(key: str) -> bool:
     return "#" in words and all(w == "#" or w in PAGE_WORDS for w in words) and len(words) <= 5
 
 
-def furniture(text: str, patterns: dict[str, set[str]]) -> set[int]:
-    """Numbers of the lines of a text that are page furniture."""
+def furniture(text: str, patterns: dict[str, set[str]], alike: dict[tuple[str, str], bool] | None = None) -> set[int]:
+    """Numbers of the lines of a text that are page furniture; ``alike`` keeps which keys are near a pattern."""
+    alike = {} if alike is None else alike
     lines = text.split("\n")
     title, heading = _title(lines), _title_line(lines)
     keys: dict[int, str] = {}
     zones = list(_edges(lines))
     edge = {i for _, rows in zones for i in rows}
     own: Counter = Counter()
+    words: dict[str, bool] = {}
     for i in edge:
-        keys[i] = line_key(lines[i], title, True)
+        keys[i] = line_key(lines[i], title, True, words)
     for zone, rows in zones:
         for k in {keys[i] for i in rows}:
             own[zone, k] += 1
-    body = Counter(line_key(x, title) for i, x in enumerate(lines) if i not in edge and x.strip())
+    inside: set[str] = set()  # keys of the other lines, made when first asked for
     found: set[int] = set()
+
+    def in_body(key: str) -> bool:
+        if not inside:
+            inside.update(line_key(x, title) for i, x in enumerate(lines) if i not in edge and x.strip())
+            inside.add("")
+        return key in inside
+
+    def near_pattern(zone: str, short: str) -> bool:
+        if (zone, short) not in alike:
+            alike[zone, short] = any(abs(len(short) - len(q)) <= 2 and len(q) >= 6 and distance(short, q, 2) <= (2 if len(q) > 9 else 1) for q in patterns[zone])
+        return alike[zone, short]
+
     n = max(1, len(set(_pages(lines))))
 
     def told(zone: str, i: int) -> bool:
@@ -259,11 +287,9 @@ def furniture(text: str, patterns: dict[str, set[str]]) -> set[int]:
         if short in patterns[zone]:
             return True
         listed = lines[i].strip()[:1] in "–-•*" and lines[i].strip()[-1:] in ";."
-        if own[zone, k] >= 2 and own[zone, k] >= 0.5 * (n - 1) and not body[k] and not listed and ("#" in k or "@" in k or len(k) > 12):
+        if own[zone, k] >= 2 and own[zone, k] >= 0.5 * (n - 1) and not listed and ("#" in k or "@" in k or len(k) > 12) and not in_body(k):
             return True
-        if "@" in k or "#" in k:
-            return any(abs(len(short) - len(q)) <= 2 and len(q) >= 6 and distance(short, q, 2) <= (2 if len(q) > 9 else 1) for q in patterns[zone])
-        return False
+        return ("@" in k or "#" in k) and near_pattern(zone, short)
 
     for zone, rows in zones:
         flags = [told(zone, i) for i in rows]
@@ -354,9 +380,12 @@ def _edge_counts(docs: DataFrame) -> DataFrame:
 
 
 def learn_furniture(docs: DataFrame) -> dict[str, set[str]]:
-    """Keys of lines that stand at page edges at least 9 times in 10 and 4 times or more; few, as they name no document."""
-    counts = cut(_edge_counts(docs).where("key <> '' and (top >= 4 or bottom >= 4)"), "edges")
-    return {z: {r[0] for r in counts.where(f"{z} >= 4 and {z} >= 0.9 * ({z} + body) and key rlike '[a-z]'").select("key").collect()} for z in ("top", "bottom")}
+    """Keys of lines that stand at page edges at least 9 times in 10, 4 times or more and at a rate of RATE: at most 1/RATE of either zone."""
+    counts = cut(_edge_counts(docs), "edges")
+    sums = counts.agg(F.sum("top"), F.sum("bottom")).first()
+    all_ = {"top": sums[0] or 0, "bottom": sums[1] or 0}
+    told = lambda z: counts.where(f"key <> '' and {z} >= 4 and {z} >= 0.9 * ({z} + body) and key rlike '[a-z]'").where(F.col(z) >= RATE * all_[z])
+    return {z: {r[0] for r in told(z).select("key").collect()} for z in ("top", "bottom")}
 
 
 def _vocabulary(docs: DataFrame) -> DataFrame:
@@ -403,10 +432,15 @@ def odd(token: str) -> bool:
 
 
 def _candidates(suspects: DataFrame, words: DataFrame) -> DataFrame:
-    """(lang, t, v, edits): all words within 2 edits (3 from nine letters on), from tries by language and length."""
-    left = suspects.select(F.col("lang").alias("lang_t"), F.length("t").alias("size_t"), F.pmod(F.xxhash64("t"), F.lit(8)).alias("salt_t"), F.col("t").alias("t"))
+    """(lang, t, v, edits): all words within 2 edits (3 from nine letters on), from tries by language and length.
+
+    The suspects of a language and length are dealt over as many tasks as their number asks for.
+    """
+    groups = suspects.groupBy("lang", F.length("t").alias("size")).agg(F.count("*").alias("n"))
+    salts = max(8, -(-(groups.agg(F.max("n")).first()[0] or 0) // SALT_ROWS))
+    left = suspects.select(F.col("lang").alias("lang_t"), F.length("t").alias("size_t"), F.pmod(F.xxhash64("t"), F.lit(salts)).alias("salt_t"), F.col("t").alias("t"))
     span = F.sequence(F.greatest(F.length("v") - 3, F.lit(1)), F.length("v") + 3)
-    right = words.select("lang", F.explode(span).alias("size"), "v").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(7).cast("bigint"))))
+    right = words.select("lang", F.explode(span).alias("size"), "v").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
 
     def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -446,7 +480,7 @@ def _hash(lang: str, word: str) -> int:
 
 
 def _occurrences(docs: DataFrame, marked) -> DataFrame:
-    """Words that may be misread where they stand: (id, lang, line, t, before, after, plain), plain: no lookup needed."""
+    """Words that may be misread where they stand: (id, lang, line, t, before, after, plain), plain: no lookup needed, but of ``after`` where before is ``unit``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = marked.value
@@ -468,8 +502,8 @@ def _occurrences(docs: DataFrame, marked) -> DataFrame:
                         if bits[_hash(lang, w)]:
                             rows.append((id_, lang, line, w, words[k - 1] if k else "", after, False))
                     for a, b in zip(got, got[1:]):
-                        if LIKELY_DIGITS.match(a) and b.strip(".") in ("%", "hl/ha", "g/l", "q/ha", "ha"):
-                            rows.append((id_, lang, line, a, "", "", True))
+                        if LIKELY_DIGITS.match(a) and b == _normal(b):  # a number, where a unit follows
+                            rows.append((id_, lang, line, a, "unit", _normal(b), True))
                     # a small i read as an exclamation mark at the end of a word
                     for m in re.finditer(r"([^\W\d_]+)!(?=\s+[a-zà-ÿ])", page.lines[line]):
                         rows.append((id_, lang, line, m.group(1), "", "", True))
@@ -480,8 +514,11 @@ def _occurrences(docs: DataFrame, marked) -> DataFrame:
 
 def _with_running(docs: DataFrame, patterns) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        alike: dict[tuple[str, str], bool] = {}
         for pdf in batches:
-            yield pdf.assign(running=[sorted(furniture(t, patterns.value)) for t in pdf["text"]])
+            if len(alike) > 300_000:
+                alike.clear()
+            yield pdf.assign(running=[sorted(furniture(t, patterns.value, alike)) for t in pdf["text"]])
 
     return docs.select("id", "lang", "text").mapInPandas(run, "id bigint, lang string, text string, running array<int>")
 
@@ -530,11 +567,9 @@ def marks(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "judged",
     )
 
-    buckets = verdicts.select(_bucket("lang", "t").alias("b")).distinct()
-    bits = np.zeros(1 << BITS, dtype=bool)
-    bits[[r[0] for r in buckets.collect()]] = True  # at most 2**BITS
-    seen = cut(_occurrences(docs, sc.broadcast(bits)), "seen")
-    exclaimed = seen.where("plain").withColumn("low", F.lower("t"))
+    seen = cut(_occurrences(docs, sc.broadcast(_filter(verdicts))), "seen")
+    told = seen.where("plain and before <> 'unit'").unionByName(seen.where("plain and before = 'unit'").join(_units(counts), ["lang", "after"], "left_semi").select(*seen.columns))
+    exclaimed = told.withColumn("low", F.lower("t"))
     known = words.select("lang", F.col("t").alias("low"), "nt")
     plain = exclaimed.where(F.col("t").rlike(r"\d|^[OQIl|!SZB]+$")).select("id", "line", "t", F.lit(None).cast("string").alias("v"))
     cut_off = exclaimed.where(~F.col("t").rlike(r"\d|^[OQIl|!SZB]+$")).withColumn("full", F.concat("low", F.lit("i")))
@@ -564,6 +599,22 @@ def marks(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return docs.select("id", F.explode("running").alias("line")), hyphen, glyph.unionByName(torn)
 
 
+def _filter(words: DataFrame) -> np.ndarray:
+    """One bit per hash of (lang, t): a bitmap of 2**BITS bits in parts of 64 KiB, put together before the driver sees them."""
+    size = 1 << 16
+    parts = words.select(_bucket("lang", "t").alias("b")).select(F.expr(f"b div {8 * size}").cast("int").alias("part"), F.expr(f"b % {8 * size}").cast("int").alias("bit")).distinct()
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(8 * size, dtype=bool)
+        bits[pdf["bit"].to_numpy()] = True
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [np.packbits(bits).tobytes()]})
+
+    found = np.zeros(1 << BITS, dtype=bool)
+    for r in parts.groupBy("part").applyInPandas(packed, "part int, bits binary").collect():  # 2**BITS / 8 bytes in all
+        found[r["part"] * 8 * size : (r["part"] + 1) * 8 * size] = np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8)).astype(bool)
+    return found
+
+
 def _bucket(*columns: str):
     return F.crc32(F.concat_ws(" ", *columns).cast("binary")).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
@@ -573,6 +624,13 @@ def _odd(column: str):
     return core.rlike(r"(?U)\p{L}") & core.rlike(r"(?U)\p{Ll}\p{Lu}|[!|0-9]")
 
 
+def _units(counts: DataFrame) -> DataFrame:
+    """(lang, after): words that stand behind a number half of the time or more, and three times at least."""
+    behind = counts.where("a = '#' and b <> '' and n >= 3").select("lang", F.col("b").alias("after"), F.col("n").alias("behind"))
+    alone = counts.where("b = ''").select("lang", F.col("a").alias("after"), "n")
+    return behind.join(alone, ["lang", "after"]).where("after <> '#' and 2 * behind >= n").select("lang", "after")
+
+
 def _by_context(doubtful: DataFrame, counts: DataFrame) -> DataFrame:
     """Of words that may be right, those that their neighbours expect to be another: (id, line, t, v)."""
     pairs = counts.where("b <> ''").select("lang", "a", "b", "n")
@@ -733,37 +791,8 @@ def repaired(parts: DataFrame, running: DataFrame, hyphen: DataFrame, glyph: Dat
 LANGS = ["de", "es", "fr", "it"]
 
 
-def found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = once_per_key(spark.read.parquet(f"{folder}/cahier_extract.parquet").select("cahier_id", "source_lang", "raw_text", "lien_au_terroir"), "cahier_id")
-    whole = F.coalesce("raw_text", "lien_au_terroir")
-    docs = rows.select(F.col("cahier_id").alias("id"), "source_lang", whole.alias("text")).where("text is not null")
-    running, hyphen, glyph = marks(with_language(spread(docs), "text", "source_lang", LANGS))
-    kinds = (
-        running.select("id", "line", F.lit("running").alias("kind"))
-        .unionByName(hyphen.select("id", "line", F.lit("hyphen").alias("kind")))
-        .unionByName(glyph.select("id", "line", F.lit("glyph").alias("kind")))
-        .distinct()
-    )
-    kinds = cut(kinds, "kinds")
-    raw = rows.where("raw_text is not null").select(F.col("cahier_id").alias("id"))
-    # section g) stands in raw_text as it is: its lines are those lines
-    at = F.expr("locate(lien_au_terroir, raw_text)")
-    before = F.expr("length(substring(raw_text, 1, at - 1)) - length(replace(substring(raw_text, 1, at - 1), '\n', ''))")
-    inside = rows.where("lien_au_terroir <> ''").withColumn("at", F.when(F.col("raw_text").isNull(), 1).otherwise(at)).where("at > 0")
-    inside = inside.select(
-        F.col("cahier_id").alias("id"), F.when(F.col("raw_text").isNull(), 0).otherwise(before).alias("first"),
-        F.expr("length(lien_au_terroir) - length(replace(lien_au_terroir, '\n', ''))").alias("more"),
-    )
-    section = kinds.join(inside, "id").where((F.col("line") >= F.col("first")) & (F.col("line") <= F.col("first") + F.col("more")))
-    return (
-        kinds.join(raw, "id").select(F.col("id").alias("cahier_id"), F.lit("raw_text").alias("field"), F.col("line").alias("line_no"), "kind")
-        .unionByName(section.select(F.col("id").alias("cahier_id"), F.lit("lien_au_terroir").alias("field"), (F.col("line") - F.col("first")).cast("int").alias("line_no"), "kind"))
-        .distinct()
-    )
-
-
-def repaired_fields(spark: SparkSession, folder: str) -> DataFrame:
-    """The paragraphs of both fields; a section that does not stand in raw_text is a document of its own."""
+def _parts(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, cahier_id, source_lang, field, first, text): both fields; a section that stands in raw_text shares its id, any other is a document of its own."""
     rows = once_per_key(spark.read.parquet(f"{folder}/cahier_extract.parquet").select("cahier_id", "source_lang", "raw_text", "lien_au_terroir"), "cahier_id")
     at = F.expr("coalesce(locate(lien_au_terroir, raw_text), 0)")
     before = F.expr("length(substring(raw_text, 1, at - 1)) - length(replace(substring(raw_text, 1, at - 1), '\n', ''))")
@@ -772,7 +801,27 @@ def repaired_fields(spark: SparkSession, folder: str) -> DataFrame:
         (2 * F.col("cahier_id") + (F.col("at") == 0).cast("int")).alias("id"), "cahier_id", "source_lang", F.lit("lien_au_terroir").alias("field"),
         F.when(F.col("at") > 0, before).otherwise(0).cast("int").alias("first"), F.col("lien_au_terroir").alias("text"),
     )
-    parts = cut(raw.unionByName(section), "parts")
+    return cut(spread(raw.unionByName(section)), "parts")
+
+
+def _marked(parts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = parts.where("field = 'raw_text' or id % 2 <> 0").select("id", "source_lang", "text")
-    found = marks(with_language(spread(docs), "text", "source_lang", LANGS))
-    return repaired(parts.drop("source_lang"), *found)
+    return marks(with_language(docs, "text", "source_lang", LANGS))
+
+
+def found(spark: SparkSession, folder: str) -> DataFrame:
+    """The marks of the lines of both fields; a section that stands in raw_text has those of its lines there, any other its own."""
+    parts = _parts(spark, folder)
+    running, hyphen, glyph = _marked(parts)
+    kinds = [x.select("id", "line", F.lit(kind).alias("kind")) for x, kind in ((running, "running"), (hyphen, "hyphen"), (glyph, "glyph"))]
+    marked = kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).distinct()
+    more = F.expr("length(text) - length(replace(text, '\n', ''))")
+    where = parts.select("id", "cahier_id", "field", "first", more.alias("more"))
+    inside = marked.join(where, "id").where((F.col("line") >= F.col("first")) & (F.col("line") <= F.col("first") + F.col("more")))
+    return inside.select("cahier_id", "field", (F.col("line") - F.col("first")).cast("int").alias("line_no"), "kind")
+
+
+def repaired_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The paragraphs of both fields."""
+    parts = _parts(spark, folder)
+    return repaired(parts.drop("source_lang"), *_marked(parts))
