@@ -75,7 +75,7 @@ def test_tables(spark):
     b = spark.createDataFrame([(2, "q"), (3, "z"), (4, "s")], "k int, sha string")
     assert {tuple(r) for r in tables.snapshot_diff(a, b, "k", "sha").collect()} == {(1, "removed"), (2, "same"), (3, "changed"), (4, "added")}
     patches = spark.createDataFrame([(1, "n"), (2, "n"), (2, "m")], "k int, v string")
-    assert {(r["k"], r["sha"], r["patched"]) for r in tables.patch(a, patches, ["k"], "sha", "v").collect()} == {(1, "n", True), (2, "q", False), (3, "r", False)}
+    assert {(r["k"], r["sha"], r["patched"]) for r in tables.patch(a, patches, ["k"], "sha", "v", "skip").collect()} == {(1, "n", True), (2, "q", False), (3, "r", False)}
 
 
 def test_geo(spark):

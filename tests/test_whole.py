@@ -28,7 +28,7 @@ def test_names_with_another_first_letter_match(spark):
                 d = edits(x, y, min(limit(x), limit(y)))
                 if d <= min(limit(x), limit(y)):
                     want[a, b] = d
-    rows = queries.QUERIES["fuzzy_levenshtein_whole"](spark, DATA).collect()
+    rows = queries.QUERIES["fuzzy_levenshtein_match"](spark, DATA).collect()
     assert {(r["slug_a"], r["slug_b"]): r["edits"] for r in rows} == want and len(rows) == len(want)
     assert sum(names[a][0] != names[b][0] for a, b in want) == 46
 

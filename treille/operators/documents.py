@@ -127,9 +127,15 @@ def contiguous(df: DataFrame, key: str, order: str, number: str) -> DataFrame:
 def route(titles: DataFrame, key: str, title: str, order: str, keywords: DataFrame) -> DataFrame:
     """(key, role, title, order): for each role the title with its first keyword; the keyword's rank decides, then place.
 
-    ``keywords`` has (role, keyword, rank), lower case.
+    ``keywords`` has (role, keyword, rank), lower case: a table that comes with the code, at
+    most 1,000 rows, which each title is compared with in place, without a join.
     """
-    hit = titles.join(F.broadcast(keywords), F.lower(F.col(title)).contains(F.col("keyword")))  # the keyword table is code, not data
+    table = keywords.select("role", "keyword", "rank").limit(1001).collect()
+    if len(table) > 1000:
+        raise ValueError("more than 1,000 keywords")
+    low = F.lower(F.col(title))
+    told = F.array_compact(F.array(*[F.when(low.contains(k), F.struct(F.lit(role).alias("role"), F.lit(rank).alias("rank"))) for role, k, rank in table])) if table else F.array().cast("array<struct<role:string,rank:int>>")
+    hit = titles.select("*", F.explode(told).alias("_h")).select(*titles.columns, "_h.role", "_h.rank")
     return hit.groupBy(key, "role").agg(F.min_by(F.struct(F.col(title), F.col(order)), F.struct("rank", order)).alias("b")).select(key, "role", F.col(f"b.{title}").alias(title), F.col(f"b.{order}").alias(order))
 
 
@@ -145,10 +151,10 @@ def without_overlaps(spans: DataFrame, key: str) -> DataFrame:
 def tag_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str, most: int = 5) -> DataFrame:
     """(key, term, pos): dictionary terms of up to ``most`` words, longest match first from the left.
 
-    Words are runs of ASCII letters in lower case. Every n-gram of a text is joined to the
+    Words are runs of letters of any script in lower case. Every n-gram of a text is joined to the
     dictionary by equality; of overlapping hits the leftmost, then the longest is kept.
     """
-    words = df.select(key, F.posexplode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), F.lit(1))).alias("p", "w"))
+    words = df.select(key, F.posexplode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(\p{L}+)"), F.lit(1))).alias("p", "w"))
     at = Window.partitionBy(key).orderBy("p")
     nexts = [F.col("w"), *[F.lead("w", k).over(at) for k in range(1, most)]]
     words = words.select(key, (F.col("p") + 1).alias("i"), *[c.alias(f"w{k}") for k, c in enumerate(nexts)])

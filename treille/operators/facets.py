@@ -47,3 +47,8 @@ def search_score(label: Column, query: str) -> Column:
 def top_per_group(df: DataFrame, group: str, order: list, k: int) -> DataFrame:
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def listed(counts: DataFrame, by: list[str], value: str = "value", n: str = "n") -> DataFrame:
+    """Facet values with their place in the listing: most records first, then by name."""
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(n), value)))

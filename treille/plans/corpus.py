@@ -81,11 +81,12 @@ def dominant_country(t):
 
 
 @query(f"""
-WITH w AS ({LATEST}) SELECT country, region, list_sort(list(name)) AS names FROM w WHERE NOT coalesce(stub, false) AND name IS NOT NULL AND region IS NOT NULL GROUP BY 1, 2
+WITH w AS ({LATEST}) SELECT country, region, count(*) AS n, min(name) AS first_name, max(name) AS last_name, count(DISTINCT upper(name[1:1])) AS letters FROM w WHERE NOT coalesce(stub, false) AND name IS NOT NULL AND region IS NOT NULL GROUP BY 1, 2
 """)
 def browse_index(t):
-    """Names by country and region."""
-    return _wines(t).where("not coalesce(stub, false) and name is not null and region is not null").groupBy("country", "region").agg(F.array_sort(F.collect_list("name")).alias("names"))
+    """The heads of the browsing pages by country and region; the names themselves are rows (browse_order), as a region may have any number."""
+    w = _wines(t).where("not coalesce(stub, false) and name is not null and region is not null")
+    return w.groupBy("country", "region").agg(F.count("*").alias("n"), F.min("name").alias("first_name"), F.max("name").alias("last_name"), F.countDistinct(F.upper(F.substring("name", 1, 1))).alias("letters"))
 
 
 @query(f"""
@@ -197,12 +198,14 @@ def letter_index(t):
     return t("gi_register").groupBy(F.upper(F.substring("slug", 1, 1)).alias("letter")).agg(F.count("*").alias("n"), F.min("slug").alias("first_slug"))
 
 
-@query("""
-SELECT slug, trim(regexp_replace(lower(strip_accents(name)), '[^a-z0-9]+', '-', 'g'), '-') AS made FROM gi_register WHERE name IS NOT NULL
+@query(r"""
+SELECT slug, trim(regexp_replace(regexp_replace(lower(strip_accents(name)), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-') AS made FROM gi_register WHERE name IS NOT NULL
+UNION ALL SELECT slug, trim(regexp_replace(regexp_replace(lower(strip_accents(prime_name)), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-') FROM vivc_passport WHERE prime_name IS NOT NULL
 """)
 def slugified_names(t):
-    """Slugs made from names."""
-    return t("gi_register").where("name is not null").select("slug", keys.slugify(F.col("name")).alias("made"))
+    """Slugs made from names of places and of varieties."""
+    names = tables.union_all([t("gi_register").select("slug", "name"), t("vivc_passport").select("slug", F.col("prime_name").alias("name"))])
+    return names.where("name is not null").select("slug", keys.slugify(F.col("name")).alias("made"))
 
 
 @query("""
@@ -235,13 +238,14 @@ def redelivered_rows(t):
 
 
 @query("""
-WITH f AS (SELECT DISTINCT item_id, CASE WHEN expected IS NULL OR trim(expected) IN ('', 'und') THEN NULL ELSE lower(expected[1:2]) END e, lower(detected[1:2]) d, confidence, surface FROM audit_finding)
+WITH c(a, b) AS (VALUES ('bul', 'bg'), ('chi', 'zh'), ('deu', 'de'), ('dut', 'nl'), ('ell', 'el'), ('eng', 'en'), ('fra', 'fr'), ('fre', 'fr'), ('ger', 'de'), ('gre', 'el'), ('ita', 'it'), ('jpn', 'ja'), ('nld', 'nl'), ('por', 'pt'), ('spa', 'es'), ('tha', 'th'), ('zho', 'zh')),
+h AS (SELECT DISTINCT finding_id, surface, confidence, lower(regexp_extract(trim(expected, ' '), '^([A-Za-z]{2,3})(?:$|[-_])', 1)) e, lower(regexp_extract(trim(detected, ' '), '^([A-Za-z]{2,3})(?:$|[-_])', 1)) d FROM audit_finding),
+f AS (SELECT surface, confidence, CASE WHEN length(e) = 2 THEN e ELSE ce.b END e, CASE WHEN length(d) = 2 THEN d ELSE cd.b END d FROM h LEFT JOIN c ce ON ce.a = e LEFT JOIN c cd ON cd.a = d)
 SELECT surface, count(*) AS total, count(*) FILTER (d IS NULL) AS undetected, count(*) FILTER (e = d) AS same, count(*) FILTER (e <> d AND confidence < 0.7) AS low, count(*) FILTER (e <> d AND confidence >= 0.7) AS mismatch FROM f GROUP BY 1
 """)
 def language_audit(t):
-    """Counters of an earlier language audit by surface."""
-    e = F.when(~F.trim(F.coalesce("expected", F.lit(""))).isin("", "und"), F.lower(F.substring("expected", 1, 2)))
-    f = t("audit_finding").select("item_id", e.alias("e"), F.lower(F.substring("detected", 1, 2)).alias("d"), "confidence", "surface").distinct()
+    """Counters of an earlier language audit by surface, labels however spelt."""
+    f = once_per_key(t("audit_finding"), "finding_id").select("surface", keys.language_code(F.col("expected")).alias("e"), keys.language_code(F.col("detected")).alias("d"), "confidence")
     differ = F.col("e") != F.col("d")
     return f.groupBy("surface").agg(F.count("*").alias("total"), *tables.count_if(("undetected", F.col("d").isNull()), ("same", F.col("e") == F.col("d")), ("low", differ & (F.col("confidence") < 0.7)), ("mismatch", differ & (F.col("confidence") >= 0.7))))
 

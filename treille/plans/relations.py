@@ -165,25 +165,12 @@ def vocabulary_precedence(t):
     return best.select("surface", F.col("b.vivc_id").alias("vivc_id"), F.col("b.tier").alias("tier"))
 
 
-@query("""
-WITH n AS (SELECT slug, name, CASE WHEN length(name) <= 6 THEN 1 WHEN length(name) <= 12 THEN 2 ELSE 3 END lim, substr(name, 1, 1) f FROM gi_register)
-SELECT a.slug AS slug_a, b.slug AS slug_b, CAST(levenshtein(a.name, b.name) AS INTEGER) AS edits FROM n a JOIN n b ON a.f = b.f AND a.slug < b.slug WHERE levenshtein(a.name, b.name) <= least(a.lim, b.lim)
-""")
-def fuzzy_levenshtein_match(t):
-    """Register names that may be one name mistyped, blocked by first letter; the threshold follows the length."""
-    n = t("gi_register").select("slug", "name", F.when(F.length("name") <= 6, 1).when(F.length("name") <= 12, 2).otherwise(3).alias("lim"), F.substring("name", 1, 1).alias("f"))
-    a, b = n.alias("a"), n.alias("b")
-    hit = a.join(b, (F.col("a.f") == F.col("b.f")) & (F.col("a.slug") < F.col("b.slug")) & (F.levenshtein("a.name", "b.name", 3) >= 0))
-    d = F.levenshtein(F.col("a.name"), F.col("b.name"))
-    return hit.where(d <= F.least("a.lim", "b.lim")).select(F.col("a.slug").alias("slug_a"), F.col("b.slug").alias("slug_b"), d.alias("edits"))
-
-
 @query("""
 WITH n AS (SELECT slug, name, CASE WHEN length(name) <= 6 THEN 1 WHEN length(name) <= 12 THEN 2 ELSE 3 END lim FROM gi_register)
 SELECT a.slug AS slug_a, b.slug AS slug_b, CAST(levenshtein(a.name, b.name) AS INTEGER) AS edits FROM n a JOIN n b ON a.slug < b.slug
 WHERE levenshtein(a.name, b.name) <= least(a.lim, b.lim) AND (substr(a.name, 1, 1) = substr(b.name, 1, 1) OR greatest(length(a.name), length(b.name)) > 6)
 """)
-def fuzzy_levenshtein_whole(t):
+def fuzzy_levenshtein_match(t):
     """Register names that may be one name mistyped, the first letter too unless both have up to 6 letters; found by shared forms after deletions."""
     n = t("gi_register").select("slug", "name", F.when(F.length("name") <= 6, 1).when(F.length("name") <= 12, 2).otherwise(3).alias("lim")).where("name is not null")
     forms = n.select("slug", F.explode(shortened("name", "lim")).alias("x"))
@@ -226,7 +213,7 @@ SELECT p_partkey, CASE WHEN p.n = 1 THEN p.v ELSE p_name END AS p_name, coalesce
 def conditional_patch(t):
     """Names replaced where exactly one patch matches on all keys."""
     part = t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    return tables.patch(part.drop("p_retailprice"), part.where("p_retailprice > 1500").select("p_brand", "p_type", "p_size", F.col("p_name").alias("new_name")), ["p_brand", "p_type", "p_size"], "p_name", "new_name").select("p_partkey", "p_name", "patched")
+    return tables.patch(part.drop("p_retailprice"), part.where("p_retailprice > 1500").select("p_brand", "p_type", "p_size", F.col("p_name").alias("new_name")), ["p_brand", "p_type", "p_size"], "p_name", "new_name", "skip").select("p_partkey", "p_name", "patched")
 
 
 @query("""
@@ -238,15 +225,16 @@ def dissolve_bbox(t):
 
 
 @query("""
-WITH p AS (SELECT s_suppkey k, s_nationkey nk, CAST(s_suppkey % 120 - 60 AS DOUBLE) lat, CAST(s_suppkey * 7 % 360 - 180 AS DOUBLE) lon FROM supplier)
-SELECT a.k AS a, b.k AS b, round(2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))), 3) AS km FROM p a JOIN p b ON a.nk = b.nk AND a.k < b.k
+WITH p AS (SELECT s_suppkey k, s_nationkey nk, CAST(s_suppkey % 120 - 60 AS DOUBLE) lat, CAST(s_suppkey * 7 % 360 - 180 AS DOUBLE) lon FROM supplier),
+l AS (SELECT k, lat, lon, lag(k) OVER w pk, lag(lat) OVER w plat, lag(lon) OVER w plon FROM p WINDOW w AS (PARTITION BY nk ORDER BY k))
+SELECT pk AS a, k AS b, round(2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))), 3) AS km FROM l WHERE pk IS NOT NULL
 """)
-def haversine_pairs(t):
-    """Distances of the suppliers of a nation; the places are derived from their keys."""
+def haversine_steps(t):
+    """Distances from each supplier of a nation to the next; the places are derived from their keys."""
     p = t("supplier").select(F.col("s_suppkey").alias("k"), "s_nationkey", (F.col("s_suppkey") % 120 - 60).cast("double").alias("lat"), (F.col("s_suppkey") * 7 % 360 - 180).cast("double").alias("lon"))
-    a, b = p.alias("a"), p.alias("b")
-    pairs = a.join(b, (F.col("a.s_nationkey") == F.col("b.s_nationkey")) & (F.col("a.k") < F.col("b.k")))
-    return pairs.select(F.col("a.k").alias("a"), F.col("b.k").alias("b"), F.round(geo.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")), 3).alias("km"))
+    w = Window.partitionBy("s_nationkey").orderBy("k")
+    p = p.withColumns({"a": F.lag("k").over(w), "plat": F.lag("lat").over(w), "plon": F.lag("lon").over(w)}).where("a is not null")
+    return p.select("a", F.col("k").alias("b"), F.round(geo.haversine(F.col("plat"), F.col("plon"), F.col("lat"), F.col("lon")), 3).alias("km"))
 
 
 @query("""
@@ -325,11 +313,10 @@ WITH o AS (SELECT c_nationkey, list_sort(list(o_totalprice)) a FROM orders JOIN
 SELECT c_nationkey, a[greatest(len(a) // 4, 1)] AS q1, a[3 * len(a) // 4 + 1] AS q3 FROM o WHERE len(a) >= 4
 """)
 def area_quartiles(t):
-    """Quartiles by position: the value at n//4 - 1 and at 3n//4, counted from 0; found by rank and not by collecting."""
-    o = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey", "o_orderkey", "o_totalprice")
-    o = o.withColumns({"i": F.row_number().over(Window.partitionBy("c_nationkey").orderBy("o_totalprice", "o_orderkey")), "n": F.count("*").over(Window.partitionBy("c_nationkey"))})
-    low, high = F.greatest(F.floor(F.col("n") / 4), F.lit(1)), F.floor(F.col("n") * 3 / 4) + 1
-    return o.where("n >= 4").groupBy("c_nationkey").agg(F.max(F.when(F.col("i") == low, F.col("o_totalprice"))).alias("q1"), F.max(F.when(F.col("i") == high, F.col("o_totalprice"))).alias("q3"))
+    """Quartiles by position: the value at n//4 - 1 and at 3n//4, counted from 0; only the ranges that hold them are ranked."""
+    o = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey", "o_totalprice")
+    n = F.col("n")
+    return tables.value_at(o, "c_nationkey", "o_totalprice", {"q1": F.greatest(F.floor(n / 4), F.lit(1)), "q3": F.floor(n * 3 / 4) + 1}, least=4)
 
 
 @query("""

@@ -61,14 +61,16 @@ def html_to_text(t):
 
 
 @query("""
-WITH w AS (SELECT country, page, min(rec_id) r FROM wine_index WHERE page IS NOT NULL AND country IS NOT NULL GROUP BY 1, 2) SELECT country, page AS href, CAST(row_number() OVER (PARTITION BY country ORDER BY r, page) - 1 AS INTEGER) * 2 AS pos FROM w
+WITH w AS (SELECT DISTINCT rec_id, page, parent_slug, slug FROM wine_index WHERE page IS NOT NULL), h AS (SELECT rec_id, page AS href, 0 AS pos FROM w UNION ALL SELECT rec_id, '/' || parent_slug, 1 FROM w WHERE parent_slug <> '' UNION ALL SELECT rec_id, '/' || slug, CASE WHEN parent_slug <> '' THEN 3 ELSE 2 END FROM w)
+SELECT rec_id, href, CAST(min(pos) AS INTEGER) AS pos FROM h GROUP BY 1, 2
 """)
 def link_harvest_dedup(t):
-    """Links of pages in document order, each at its first place; the pages are made from the index, each link twice."""
-    w = t("wine_index").where("page is not null and country is not null").groupBy("country", "page").agg(F.min("rec_id").alias("r"))
-    anchor = lambda x: F.concat(F.lit('<a class="x" href="'), x["page"], F.lit('">p</a><A HREF="'), x["page"], F.lit('">again</A>'))
-    html = w.groupBy("country").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "page"))), anchor), " ").alias("html"))
-    return documents.links(html, "country", "html")
+    """Links of pages in document order, each at its first place; a page is made for each record, its own link twice."""
+    w = t("wine_index").where("page is not null").select("rec_id", "page", "parent_slug", "slug").distinct()
+    link = lambda href: F.concat(F.lit('<a class="x" href="'), href, F.lit('">p</a> '))
+    up = F.when(F.col("parent_slug") != "", link(F.concat(F.lit("/"), "parent_slug"))).otherwise("")
+    html = F.concat(link(F.col("page")), up, F.lit('<A HREF="'), "page", F.lit('">again</A>'), link(F.concat(F.lit("/"), "slug")))
+    return documents.links(w.select("rec_id", html.alias("html")), "rec_id", "html")
 
 
 @query("""
@@ -114,20 +116,22 @@ def stale_job_enumeration(t):
     return tables.stale_jobs(wanted, cache, ["doc_id", "lang"], "sha")
 
 
-@query("""
-WITH g AS (SELECT lower(name) term FROM gi_register WHERE regexp_matches(lower(name), '^[a-z]+( [a-z]+){0,2}$')),
-w AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]+)', 1) w FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, unnest(w) x, generate_subscripts(w, 1) i FROM w),
-l AS (SELECT doc_id, i, x, lead(x) OVER d x2, lead(x, 2) OVER d x3 FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-m AS (SELECT doc_id, i, x t, 1 n FROM l UNION ALL SELECT doc_id, i, x || ' ' || x2, 2 FROM l WHERE x2 IS NOT NULL UNION ALL SELECT doc_id, i, x || ' ' || x2 || ' ' || x3, 3 FROM l WHERE x3 IS NOT NULL),
-h AS (SELECT doc_id, term, i, n FROM m JOIN (SELECT DISTINCT term FROM g) ON term = t),
+@query(r"""
+WITH g AS (SELECT DISTINCT array_to_string(regexp_extract_all(lower(name), '(\p{L}+)', 1), ' ') term FROM gi_register WHERE len(regexp_extract_all(lower(name), '(\p{L}+)', 1)) BETWEEN 1 AND 5),
+w AS (SELECT doc_id, regexp_extract_all(lower(text), '(\p{L}+)', 1) w FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, unnest(w) x, generate_subscripts(w, 1) i FROM w),
+l AS (SELECT doc_id, i, x, lead(x) OVER d x2, lead(x, 2) OVER d x3, lead(x, 3) OVER d x4, lead(x, 4) OVER d x5 FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+m AS (SELECT doc_id, i, x t, 1 n FROM l UNION ALL SELECT doc_id, i, x || ' ' || x2, 2 FROM l WHERE x2 IS NOT NULL UNION ALL SELECT doc_id, i, x || ' ' || x2 || ' ' || x3, 3 FROM l WHERE x3 IS NOT NULL
+  UNION ALL SELECT doc_id, i, x || ' ' || x2 || ' ' || x3 || ' ' || x4, 4 FROM l WHERE x4 IS NOT NULL UNION ALL SELECT doc_id, i, x || ' ' || x2 || ' ' || x3 || ' ' || x4 || ' ' || x5, 5 FROM l WHERE x5 IS NOT NULL),
+h AS (SELECT doc_id, term, i, n FROM m JOIN g ON term = t),
 b AS (SELECT doc_id, i, arg_max(term, n) term, max(n) n FROM h GROUP BY 1, 2),
 r AS (SELECT *, max(i + n) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) e FROM b)
 SELECT doc_id, term, CAST(i AS INTEGER) AS pos FROM r WHERE e IS NULL OR i >= e
 """)
 def ngram_dictionary_tag(t):
-    """Register names of up to three words in the documents, leftmost and longest first."""
-    terms = t("gi_register").select(F.lower("name").alias("term")).where("term rlike '^[a-z]+( [a-z]+){0,2}$'")
-    return documents.tag_terms(t("documents").where("text is not null"), "doc_id", "text", terms, "term", 3)
+    """Register names of up to five words of any script in the documents, leftmost and longest first."""
+    words = F.regexp_extract_all(F.lower("name"), F.lit(r"(\p{L}+)"), F.lit(1))
+    terms = t("gi_register").where(F.size(words).between(1, 5)).select(F.array_join(words, " ").alias("term"))
+    return documents.tag_terms(t("documents").where("text is not null"), "doc_id", "text", terms, "term", 5)
 
 
 @query()
@@ -175,22 +179,11 @@ def source_totals(t):
     return t("documents").groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.countDistinct(F.sha2("text", 256)).alias("texts"))
 
 
-@query("""
-SELECT doc_id, replace(replace(replace(replace(text[1:80], '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped FROM documents WHERE text IS NOT NULL AND NOT contains(text[1:80], '''')
-""")
-def escaped_leads(t):
-    """The beginnings of the texts, fit for a page."""
-    from treille.sources.sinks import escape
-
-    head = F.substring("text", 1, 80)
-    return t("documents").where(F.col("text").isNotNull() & ~head.contains("'")).select("doc_id", escape(head).alias("escaped"))
-
-
 @query("""
 SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS escaped FROM documents WHERE text IS NOT NULL
 """)
 def escaped_texts(t):
-    """The whole texts, fit for a page; escaped_leads has only beginnings without an apostrophe."""
+    """The whole texts, fit for a page."""
     from treille.sources.sinks import escape
 
     return t("documents").where("text is not null").select("doc_id", escape(F.col("text")).alias("escaped"))

@@ -55,17 +55,48 @@ def looks_like_document(html: Column, marks: str, least: int = 8192) -> Column:
     return (F.length(html) > least) & html.rlike(marks)
 
 
+# Words for a corrigendum in the languages of the register.
+CORRIGENDUM = r"(?i)corrigend|rectificat|berichtigung|rettific|retificaç|corrección|διορθωτ|поправк|oprav|helyesb|ispravak|popravek|rectificare|rettifika|parandus|labojum|klaidų"
+
+
 def best_publication(publications: Column) -> Column:
-    """Of (uri, text) structs the best link: an official journal C text that is no corrigendum, any such, any link; then the first."""
+    """Of (uri, text) structs the best link: a C series text (``C 12``) that is no corrigendum, any such, any link; then the first."""
     def rank(p: Column) -> Column:
-        c = F.lower(F.coalesce(p["text"], F.lit("")))
-        return F.when(~F.coalesce(p["uri"].startswith("http"), F.lit(False)), 9).when(c.contains("c ") & ~c.contains("corrigend"), 0).when(c.contains("c "), 1).otherwise(2)
+        text = F.coalesce(p["text"], F.lit(""))
+        c = text.rlike(r"(?U)(?<![\p{L}\p{N}])C\s?/?\d")
+        return F.when(~F.coalesce(p["uri"].startswith("http"), F.lit(False)), 9).when(c & ~text.rlike(CORRIGENDUM), 0).when(c, 1).otherwise(2)
 
     ranked = F.transform(publications, lambda p, i: F.struct(rank(p).alias("r"), i.alias("i"), p["uri"].alias("uri")))
     best = F.array_min(F.filter(ranked, lambda x: x["r"] < 9))
     return best["uri"]
 
 
+def response_kind(content_type: Column, content: Column) -> Column:
+    """html, pdf or none of a response, by its first bytes before what its header claims."""
+    head = F.substring(content, 1, 4)
+    claimed = F.lower(F.coalesce(content_type, F.lit("")))
+    return F.when(head == F.lit(b"%PDF"), "pdf").when(claimed.contains("html") & ~claimed.contains("pdf"), "html")
+
+
+def link_candidates(override: Column, harvested: Column, most: int | None = None) -> Column:
+    """Links to try in order: those set by hand, then those harvested, each once."""
+    none = F.array().cast("array<string>")
+    all_ = F.array_distinct(F.array_compact(F.concat(F.coalesce(override, none), F.coalesce(harvested, none))))
+    return F.slice(all_, 1, most) if most else all_
+
+
+def first_success(tries: DataFrame, key: str, order: str, ok: str) -> DataFrame:
+    """The first try of each key that succeeded; keys without one have no row."""
+    others = [c for c in tries.columns if c != key]
+    best = tries.where(F.col(ok)).groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("_b"))
+    return best.select(key, *[F.col("_b")[c].alias(c) for c in others])
+
+
+def after_cursor(weeks: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """Weeks (or other parts) of a crawl still to do: behind the last one done, and those before that were left out."""
+    return weeks.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
 def upsert(manifest: DataFrame, news: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """A fetch ledger with the latest row of each key."""
     from treille.operators.dedup import latest_per_key

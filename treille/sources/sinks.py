@@ -57,3 +57,52 @@ def accept_items(todo: DataFrame, filled: DataFrame, keys: list[str]) -> DataFra
     joined = filled.join(asked, keys, "left")
     status = F.when(F.col("_known").isNull(), "unknown").when(F.col("sha") != F.col("_sha"), "stale").when(F.trim(F.coalesce("text", F.lit(""))) == "", "empty").otherwise("accepted")
     return joined.withColumn("status", status).drop("_sha", "_known")
+
+
+def collection(df: DataFrame, path: str, geometry: str, properties: list[str], order: list[str]) -> None:
+    """A GeoJSON collection as text files in a total order: joined, they are its features; each file holds a run of them, separated by commas."""
+    feature_rows(df.orderBy(*order), geometry, properties).write.mode("overwrite").option("lineSep", ",").text(path)
+
+
+def alternates(url: Column, locales: list[str]) -> Column:
+    """Links of a page to its other languages, as a sitemap has them."""
+    return F.concat(*[F.concat(F.lit(f'<xhtml:link rel="alternate" hreflang="{x}" href="'), escape(F.replace(url, F.lit("{locale}"), F.lit(x))), F.lit('"/>')) for x in locales])
+
+
+def text_listing(title: Column, url: Column, note: Column) -> Column:
+    """One line of a text index."""
+    return F.concat(F.lit("- ["), title, F.lit("]("), url, F.lit(")"), F.when(F.coalesce(note, F.lit("")) != "", F.concat(F.lit(": "), note)).otherwise(""))
+
+
+def content_block(title: Column, facts: list[tuple[str, Column]], paragraphs: Column) -> list[Column]:
+    """(block, signature): an article of a record and the hash of its visible text, blanks aside; parts without content are left out."""
+    rows = F.concat_ws("", *[F.when(F.coalesce(v, F.lit("")) != "", F.concat(F.lit(f"<dt>{k}</dt><dd>"), escape(v), F.lit("</dd>"))) for k, v in facts])
+    body = F.array_join(F.transform(F.filter(paragraphs, lambda p: F.trim(p) != ""), lambda p: F.concat(F.lit("<p>"), escape(F.trim(p)), F.lit("</p>"))), "")
+    block = F.concat(F.lit("<article><h1>"), escape(title), F.lit("</h1>"), F.when(rows != "", F.concat(F.lit("<dl>"), rows, F.lit("</dl>"))).otherwise(""), F.coalesce(body, F.lit("")), F.lit("</article>"))
+    visible = F.trim(F.regexp_replace(F.regexp_replace(block, "<[^>]+>", " "), r"\s+", " "))
+    return [block.alias("block"), F.sha2(visible, 256).alias("signature")]
+
+
+def kept_files(df: DataFrame, path: str, excluded: list[str]) -> DataFrame:
+    """Rows whose path fits none of the glob patterns; ``*`` stands for any part, ``?`` for one character."""
+    import re
+
+    for glob in excluded:
+        pattern = "^" + re.escape(glob).replace(r"\*", ".*").replace(r"\?", ".") + "$"
+        df = df.where(~F.col(path).rlike(pattern))
+    return df
+
+
+def logical_path(path: Column) -> Column:
+    """A path without the content hash in its file name (eight hexadecimal digits or more before the extension)."""
+    return F.regexp_replace(path, r"[.-][0-9a-f]{8,}(?=\.[A-Za-z0-9]+$)", "")
+
+
+def work_items(jobs: DataFrame, path: str, order: list[str]) -> None:
+    """Work items for completion elsewhere, in order."""
+    ordered_json(jobs, path, order)
+
+
+def urls(columns: list[Column], most: int) -> Column:
+    """At most ``most`` links in the order given, each once, empty ones left out."""
+    return F.slice(F.array_distinct(F.array_compact(F.array(*[F.nullif(F.trim(c), F.lit("")) for c in columns]))), 1, most)
