@@ -140,6 +140,12 @@ def test_stream_upserts_once_per_batch(spark, tmp_path):
     args = (spark, str(tmp_path / "in/*"), spark.createDataFrame([], schema).schema, str(tmp_path / "t"), str(tmp_path / "c"), ["k"], ["at"])
     incremental.upsert_stream(*args)
     incremental.upsert_stream(*args)
-    assert {(r["k"], r["v"]) for r in incremental.latest_version(spark, str(tmp_path / "t")).collect()} == {(1, "c"), (2, "b")}
+    state = lambda: {(r["k"], r["v"]) for r in incremental.latest_version(spark, str(tmp_path / "t"), args[2]).collect()}
+    assert state() == {(1, "c"), (2, "b")}
+    before = incremental.Buckets(spark, str(tmp_path / "t")).last()[1]
+    spark.createDataFrame([(1, 3, "d")], schema).coalesce(1).write.parquet(str(tmp_path / "in/2"))
+    incremental.upsert_stream(*args)
+    after = incremental.Buckets(spark, str(tmp_path / "t")).last()[1]
+    assert state() == {(1, "d"), (2, "b")} and sum(before[b] != after[b] for b in before) == 1
     events = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 5), "x"), (dt.datetime(2024, 1, 1, 0, 50), "x"), (dt.datetime(2024, 1, 1, 1, 5), "x")], "ts timestamp, e string")
     assert sorted(r["n"] for r in incremental.windowed_counts(events, "ts", "e").collect()) == [1, 2]

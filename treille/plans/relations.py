@@ -9,6 +9,7 @@ from treille.functions import keys
 from treille.functions.similarity import shortened
 from treille.operators import facets, geo, hierarchy, resolve, tables
 from treille.operators.dedup import latest_per_key
+from treille.plans.lineage import new_path
 from treille.plans.queries import query
 
 
@@ -324,8 +325,14 @@ WITH l AS (SELECT user_id, event_type, event_id, ts, value, row_number() OVER (P
 SELECT user_id, event_type, event_id, ts, value FROM l WHERE rn = 1
 """)
 def incremental_upsert(t):
-    """The state after all batches: the latest row per key."""
-    return latest_per_key(t("events").select("user_id", "event_type", "event_id", "ts", "value"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "ts", "value")
+    """The state after a stream of all batches: the latest row per key, by the streaming upsert into hash buckets."""
+    from treille.streaming.incremental import latest_version, upsert_stream
+
+    e = t("events").select("user_id", "event_type", "event_id", "ts", "value")
+    base = new_path(e.sparkSession, "upsert")
+    e.repartition(3, "event_id").write.parquet(f"{base}/in")  # arrives in three files, in any order
+    upsert_stream(e.sparkSession, f"{base}/in", e.schema, f"{base}/table", f"{base}/checkpoint", ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
+    return latest_version(e.sparkSession, f"{base}/table", e.schema)
 
 
 @query("""
