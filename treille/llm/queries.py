@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treille.llm import canonical_map, cooccur, language_mix, mixing, packing, scan_repair, sentences, set_join, unicode_forms
+from treille.llm import canonical_map, consistency, cooccur, language_mix, mixing, packing, scan_repair, sentences, set_join, unicode_forms
 
 QUERIES = {
     "p1_found": unicode_forms.found,
@@ -21,10 +21,22 @@ QUERIES = {
     "p8_mixture": mixing.chosen,
     "p8_shares": mixing.shares,
     "p9_found": sentences.found,
+    "p1_invisible": consistency.invisible,
+    "p4_greek": consistency.greek,
+    "p6_exact": consistency.exact,
+    "p7_limits": consistency.packing_limits,
+    "p8_limits": consistency.mixture_limits,
+    "p9_last": consistency.last_ends,
 }
 
 ORACLE = {
     "p3_found": set_join.FOUND_SQL,
     "p3_between": set_join.BETWEEN_SQL,
     "p5_found": cooccur.FOUND_SQL,
+    "p1_invisible": consistency.INVISIBLE_SQL,
+    "p4_greek": consistency.GREEK_SQL,
+    "p6_exact": consistency.EXACT_SQL,
+    "p7_limits": consistency.LIMITS_SQL,
+    "p8_limits": consistency.MIXTURE_SQL,
+    "p9_last": consistency.LAST_SQL,
 }
