@@ -28,4 +28,4 @@ def query(sql: str | None = None):
     return wrap
 
 
-from treille.plans import corpus, passages, places, relations, shapes, texts  # noqa: E402, F401
+from treille.plans import corpus, derived, passages, places, relations, shapes, texts  # noqa: E402, F401
