@@ -6,6 +6,7 @@ array of parts; rings repeat their first point at the end.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
@@ -240,13 +241,19 @@ def simplified(df: DataFrame, key: str, geometry: str, tolerance: float) -> Data
     """(key, geometry) with fewer points, each ring within ``tolerance`` of the old one; no ring and no geometry is emptied."""
     kind = dict(df.dtypes)[key]
 
+    def thin(ring: list[dict]) -> list[dict]:
+        return [{"x": x, "y": y} for x, y in _thin([(p["x"], p["y"]) for p in ring], tolerance)]
+
+    def one(text: str | None) -> str | None:
+        return None if text is None else json.dumps([{"outer": thin(p["outer"]), "holes": [thin(h) for h in p.get("holes") or []]} for p in json.loads(text)])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        thin = lambda ring: [{"x": x, "y": y} for x, y in _thin([(p["x"], p["y"]) for p in ring], tolerance)]
         for pdf in batches:
-            pdf["g"] = [None if parts is None else [{"outer": thin(p["outer"]), "holes": [thin(h) for h in (p["holes"] if p["holes"] is not None else [])]} for p in parts] for parts in pdf["g"]]
-            yield pdf
+            yield pdf.assign(g=pdf["g"].map(one, na_action="ignore"))
 
-    return df.select(F.col(key).alias("k"), F.col(geometry).alias("g")).mapInPandas(run, f"k {kind}, g array<{PART}>").select(F.col("k").alias(key), F.col("g").alias(geometry))
+    # as text: empty lists within lists crash the conversion of nested columns to pandas
+    rows = df.select(F.col(key).alias("k"), F.to_json(geometry).alias("g")).mapInPandas(run, f"k {kind}, g string")
+    return rows.select(F.col("k").alias(key), F.from_json("g", f"array<{PART}>").alias(geometry))
 
 
 def rectangle(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
