@@ -10,6 +10,7 @@ languages of the set; neighbours of one language form a segment with its posteri
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 import zlib
@@ -50,9 +51,35 @@ def language_code(label: F.Column) -> F.Column:
     return F.when(F.length(head) == 2, head).when(F.length(head) == 3, table[head])
 
 
+class _Bare(dict):
+    """What is left of a character without its marks, by code point; filled as characters are met."""
+
+    def __missing__(self, cp: int) -> str:
+        bare = "".join(c for c in unicodedata.normalize("NFD", chr(cp)) if not unicodedata.combining(c) or "฀" <= c <= "๿")
+        self[cp] = bare
+        return bare
+
+
+BARE = _Bare()
+MARK = re.compile("[" + "".join(chr(cp) for cp in range(0x300, 0x10000) if unicodedata.combining(chr(cp)) and not 0xE00 <= cp <= 0xE7F) + "]")
+ASTRAL = re.compile("[\U00010000-\U0010FFFF]")  # characters beyond 16 bits, some of them marks
+
+
 def fold(text: str) -> str:
     """Lower case without accents, so capitals and lost accents don't matter."""
-    return "".join(c for c in unicodedata.normalize("NFD", text.lower()) if not unicodedata.combining(c) or "฀" <= c <= "๿")
+    return text.lower().translate(BARE)
+
+
+def folded_words(text: str) -> list[str]:
+    """The words of the folded text; a mark that stands alone joins what is around it."""
+    if MARK.search(text) or ASTRAL.search(text):
+        return WORD.findall(fold(text))
+    return [x for x in map(_folded, WORD.findall(text)) if x]
+
+
+@functools.lru_cache(300_000)
+def _folded(word: str) -> str:
+    return fold(word)
 
 
 def _joined(word: str) -> bool:
@@ -114,7 +141,7 @@ class LanguageModel:
         """(start, end, words, log-likelihoods) of the clauses that have a word."""
         found, start = [], 0
         for stop in [m.span() for m in CLAUSE.finditer(text)] + [(len(text), len(text))]:
-            words = WORD.findall(fold(text[start : stop[0]]))
+            words = folded_words(text[start : stop[0]])
             if words:
                 count = sum(max(1, len(w) // 3) if _joined(w) else 1 for w in words)
                 found.append((start, stop[0], count, sum(self.word(w) for w in words)))
@@ -188,7 +215,7 @@ def _counts(rows: DataFrame, model=None) -> DataFrame:
         for pdf in batches:
             for text, lang in zip(pdf["text"], pdf["lang"]):
                 if model is None:
-                    for w in WORD.findall(fold(text)):
+                    for w in folded_words(text):
                         words[lang, w] += 1
                 else:
                     m = model.value
@@ -199,7 +226,7 @@ def _counts(rows: DataFrame, model=None) -> DataFrame:
                     for (a, b, count_, _), p in zip(clauses, post):
                         if count_ >= 3 and p.max() > 0.9:
                             label = m.langs[chosen[int(p.argmax())]]
-                            for w in WORD.findall(fold(text[a:b])):
+                            for w in folded_words(text[a:b]):
                                 words[label, w] += 1
             if len(words) > 200_000:
                 yield flush()

@@ -13,6 +13,7 @@ blanks between Thai words; a blank line always ends a sentence.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -42,9 +43,11 @@ ITEM = re.compile(r"[^\S\n]*(?:(?P<bullet>[•*–—\-‣·▪◦])\s+|(?P<numb
 BULLET_OR_NUMBER = re.compile(r"[^\S\n]*(?:[•*–—\-‣·▪◦]\s+\S|\(?(?:\d{1,3}|[a-z])[.)]\s+\S|\d{1,3}．)")
 NUMBER = re.compile(r"[\d.,  '’/]*\d[\d.,]*$")
 STRIP_LEFT = "«“„‘「『（([{\"'‹¿¡—–-"
+QUOTE = re.compile("[«»“”„‘’「」『』\"‹›《》]")
 THAI = re.compile(r"(?<=[ก-๛])[^\S\n]+(?=[ก-๛])|(?<=[ก-๛])\n(?=[ก-๛])")
 
 
+@functools.lru_cache(200_000)
 def _type(token: str) -> tuple[str, bool]:
     """(word type, does it end in a period) of a token; numbers become # and their number of digits."""
     core = token.lstrip(STRIP_LEFT).rstrip(CLOSERS + ",;:!?…")
@@ -218,9 +221,8 @@ def _quotes(part: str) -> tuple[set[int], list[tuple[int, int]]]:
     """(positions of closing marks, quoted spans that a sentence goes on after)."""
     stack: list[tuple[str, int]] = []
     closing, spans = set(), []
-    for i, c in enumerate(part):
-        if c not in "«»“”„‘’「」『』\"‹›《》":
-            continue
+    for m in QUOTE.finditer(part):
+        i, c = m.start(), m.group()
         if stack and c == stack[-1][0] and not (c == "’" and i + 1 < len(part) and part[i + 1].isalpha()):
             spans.append((stack.pop()[1], i))
             closing.add(i)
