@@ -67,19 +67,22 @@ def context_vote(mentions: DataFrame, doc: str, name: str, places: DataFrame, gr
 
     Ties go to the place whose full name (column ``full``) shares the longest beginning with
     the mention, then to the least code. ``places`` has (name, group, code, full). Gives (doc,
-    name, group, code, certain). Places are reduced to one a name and group first where no
-    full names are compared, so that a mention meets few rows.
+    name, group, code, certain). A mention meets only the groups its document votes for; one
+    without any of them takes what is best for its name anywhere, found once a name.
     """
-    label = [full] if full else []
-    counted = places.groupBy(name).agg(F.count("*").alias("_n"))
-    kept = places.select(name, group, code, *label) if full else places.groupBy(name, group).agg(F.min(code).alias(code))
-    joined = mentions.select(doc, name).distinct().join(kept.join(counted, name), name)
-    votes = joined.where("_n = 1").groupBy(doc, group).agg(F.count("*").alias("_votes"))
-    ranked = joined.join(votes, [doc, group], "left")
-    near = common_prefix(F.lower(F.col(full)), F.lower(F.col(name))) if full else F.lit(0)
-    rank = F.struct((-F.coalesce("_votes", F.lit(0))).alias("v"), (-near).alias("p"), F.col(code).alias("c"))
-    best = ranked.groupBy(doc, name).agg(F.min_by(F.struct(group, code, (F.col("_n") == 1).alias("certain")), rank).alias("_b"))
-    return best.select(doc, name, F.col("_b")[group].alias(group), F.col("_b")[code].alias(code), F.col("_b.certain").alias("certain"))
+    near = -common_prefix(F.lower(F.col(full)), F.lower(F.col(name))) if full else F.lit(0)
+    kept = places.select(name, group, code, near.alias("_near"))
+    if not full:
+        kept = kept.groupBy(name, group).agg(F.min(code).alias(code), F.lit(0).alias("_near"))
+    choice = F.struct(group, code)
+    default = kept.groupBy(name).agg(F.min_by(choice, F.struct("_near", code)).alias("_default"))
+    default = default.join(places.groupBy(name).agg(F.count("*").alias("_n")), name)
+    known = mentions.select(doc, name).distinct().join(default, name)
+    votes = known.where("_n = 1").groupBy(doc, F.col("_default")[group].alias(group)).agg(F.count("*").alias("_votes"))
+    voted = known.where("_n > 1").select(doc, name).join(votes, doc).join(kept, [name, group])
+    voted = voted.groupBy(doc, name).agg(F.min_by(choice, F.struct((-F.col("_votes")).alias("v"), "_near", code)).alias("_voted"))
+    best = known.join(voted, [doc, name], "left").withColumn("_b", F.coalesce("_voted", "_default"))
+    return best.select(doc, name, F.col("_b")[group].alias(group), F.col("_b")[code].alias(code), (F.col("_n") == 1).alias("certain"))
 
 
 def majority(votes: DataFrame, key: str, label: str) -> DataFrame:
