@@ -33,7 +33,7 @@ def _parsed(t):
     few = F.array(F.concat(F.lit("Supplier#"), (F.col("o_orderkey") % 7).cast("string")))
     parsed = o.select(F.col("o_orderkey").alias("k"), few.alias("places"), F.array("n_name").alias("districts"))
     s = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return parsed, [("places", s.select(F.concat(F.lit("Supplier#"), F.col("s_suppkey").cast("string")).alias("n"), "s_suppkey"), "n", "s_suppkey"), ("districts", s, "n_name", "s_suppkey")]
+    return parsed, "k", [("places", s.select(F.concat(F.lit("Supplier#"), F.col("s_suppkey").cast("string")).alias("n"), "s_suppkey"), "n", "s_suppkey"), ("districts", s, "n_name", "s_suppkey")]
 
 
 @query(f"""
@@ -41,7 +41,7 @@ WITH {_PARTS} SELECT k, s_suppkey AS code FROM p JOIN supplier ON s_suppkey = a
 """)
 def area_parts(t):
     """Places and districts of an area together."""
-    return derive.resolved_parts(_parsed(t)[0], "k", _parsed(t)[1])[0]
+    return derive.resolved_parts(*_parsed(t))
 
 
 @query(f"""
@@ -51,7 +51,7 @@ UNION ALL SELECT 'districts', CASE WHEN b IN (SELECT n FROM d) THEN 1 ELSE 0 END
 """)
 def area_part_counts(t):
     """What was found of each part."""
-    return derive.resolved_parts(_parsed(t)[0], "k", _parsed(t)[1])[1].groupBy("part").agg(F.sum("matched").alias("matched"), F.sum("unmatched").alias("unmatched"))
+    return derive.parts_found(*_parsed(t)).groupBy("part").agg(F.sum("matched").alias("matched"), F.sum("unmatched").alias("unmatched"))
 
 
 @query(f"""
