@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from treille.operators import derive
+from treille.operators import derive, geo
 
 
 def shuffled(df) -> int:
@@ -34,3 +34,32 @@ def test_codes_of_areas_are_not_shuffled(spark):
     assert shuffled(got) < len(want) / 10
     again = got.distinct()
     assert len(again.collect()) == len(want) <= shuffled(again)
+
+
+def overlaps(rows):
+    for i, (a, *x) in enumerate(rows):
+        for b, *y in rows[i + 1 :]:
+            wide, high = (min(x[k + 2], y[k + 2]) - max(x[k], y[k]) for k in (0, 1))
+            if a != b and wide > 0 and high > 0:
+                yield (min((a, x[4]), (b, y[4])), max((a, x[4]), (b, y[4])), wide * high)
+
+
+BOX = "id long, minx long, miny long, maxx long, maxy long, brand string"
+
+
+def test_families_are_paired_by_shapes(spark):
+    rows = [(i, i * 7 % 30, i * 11 % 30, i * 7 % 30 + i % 4 + 5, i * 11 % 30 + i % 4 + 5, "xyz"[i % 3]) for i in range(80)]
+    rows += [(i, 1, 2, 9, 9, "xyz"[i % 2]) for i in (80, 81, 82)] + [(3, *rows[9][1:]), (9, *rows[3][1:]), (9, 0, 0, 30, 30, "z"), (3, 0, 0, 30, 30, "x"), (3, 0, 0, 30, 30, "x"), (5, 0, 0, 30, 30, None)]
+    got = {(r["first"], r["second"]): (r["pairs"], r["a"], r["b"], r["shared"]) for r in geo.family_overlaps(spark.createDataFrame(rows, BOX), "id", "brand", 10).collect()}
+    want = {}
+    for a, b, shared in overlaps([r for r in rows if r[5]]):
+        if a[1] != b[1]:
+            want.setdefault(tuple(sorted((a[1], b[1]))), []).append((-shared, a[0], b[0]))
+    assert got == {k: (len(v), min(v)[1], min(v)[2], -min(v)[0]) for k, v in want.items()}
+
+
+def test_pairs_of_one_shape_are_not_made_singly(spark):
+    brands = F.concat(F.lit("b"), F.pmod("id", F.lit(3)).cast("string"))
+    boxes = spark.range(60_000).select("id", *[F.lit(v).alias(k) for k, v in zip(("minx", "miny", "maxx", "maxy"), (1, 1, 5, 5))], brands.alias("brand"))
+    got = {(r["first"], r["second"], r["pairs"], r["a"], r["b"], r["shared"]) for r in geo.family_overlaps(boxes, "id", "brand", 10).collect()}
+    assert got == {("b0", "b1", 20_000**2, 0, 1, 16), ("b0", "b2", 20_000**2, 0, 2, 16), ("b1", "b2", 20_000**2, 1, 2, 16)}

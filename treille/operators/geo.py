@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from treille.operators.tables import family_pairs
+from treille.plans.lineage import cut
+
 EARTH_KM = 6371.0088
 
 
@@ -27,8 +30,11 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)) / 2
 
 
+SHAPE = ["minx", "miny", "maxx", "maxy"]
+
+
 def box_overlaps(boxes: DataFrame, id_: str, cell: float) -> DataFrame:
-    """(a, b, shared): pairs of boxes that overlap, found through the grid cells they touch.
+    """(a, b, shared, area_a, area_b): pairs of boxes that overlap, found through the grid cells they touch.
 
     A pair is reported by the cell that holds the lower left corner of its intersection,
     so no distinct is needed. Cells should be about as large as a box.
@@ -46,6 +52,47 @@ def box_overlaps(boxes: DataFrame, id_: str, cell: float) -> DataFrame:
     )
 
 
+def _with_itself(shapes: DataFrame, id_: str) -> DataFrame:
+    """Every shape that has an area as a pair with itself, in the columns of ``box_overlaps``."""
+    area = box_area(*[F.col(c) for c in SHAPE])
+    return shapes.where(area.isNotNull()).select(F.col(id_).alias("a"), F.col(id_).alias("b"), area.alias("shared"), area.alias("area_a"), area.alias("area_b"))
+
+
+def family_overlaps(boxes: DataFrame, id_: str, family: str, cell: float) -> DataFrame:
+    """One row per pair of families whose boxes overlap: (first, second, pairs, a, b, shared), with the largest pair of it; pairs within a family are left out.
+
+    Boxes of one shape and family are counted once with their number, and each shape sums up
+    the families around it, so the pairs themselves are never made. Of pairs with the same
+    shared area the one with the least ``a``, then ``b`` is named. Boxes whose id occurs more
+    than once make no pair with their like; pairs among such boxes are made singly.
+    """
+    boxes = boxes.where(F.col(id_).isNotNull() & F.col(family).isNotNull())
+    repeated = cut(boxes.groupBy(id_).agg(F.count("*").alias("_t")).where("_t > 1"), "repeated").select(id_, F.lit(True).alias("_d"))
+    none = repeated.isEmpty()
+    flagged = boxes.withColumn("_d", F.lit(False)) if none else boxes.join(repeated, id_, "left").withColumn("_d", F.coalesce("_d", F.lit(False)))
+    groups = cut(flagged.groupBy(*SHAPE, F.col(family).alias("f"), "_d").agg(F.count("*").alias("n"), F.min(id_).alias("m")), "groups")
+    shapes = cut(groups.select(*SHAPE).distinct().withColumn("g", F.monotonically_increasing_id()), "shapes")
+    groups = cut(groups.join(shapes, SHAPE).select("g", "f", "_d", "n", "m"), "groups")
+    near = box_overlaps(shapes, "g", cell)
+    near = cut(near.select("a", "b", "shared").union(near.select("b", "a", "shared")).union(_with_itself(shapes, "g").select("a", "b", "shared")).toDF("g", "h", "shared"), "near")
+    there = groups.select(F.col("g").alias("h"), F.col("f").alias("s"), F.col("_d").alias("_e"), F.col("n").alias("k"), F.col("m").alias("o"))
+    apart = (F.col("f") < F.col("s")) & ~(F.col("_d") & F.col("_e"))
+    around = near.join(there, "h").groupBy("g", "s", "_e").agg(F.sum("k").alias("k"), F.max("shared").alias("shared"))
+    totals = cut(groups.join(around, "g").where(apart).groupBy("f", "s").agg(F.sum(F.col("n") * F.col("k")).alias("pairs"), F.max("shared").alias("shared")), "totals")
+    largest = near.join(totals.select("shared").distinct(), "shared", "left_semi").join(groups.join(totals.select("f", "shared").distinct(), "f"), ["g", "shared"])
+    largest = largest.join(there, "h").where(apart).join(totals, ["f", "s", "shared"])
+    got = largest.groupBy(F.col("f").alias("first"), F.col("s").alias("second"), "pairs", "shared").agg(F.min(F.struct(F.least("m", "o").alias("a"), F.greatest("m", "o").alias("b"))).alias("_b"))
+    got = got.select("first", "second", "pairs", F.col("_b.a").alias("a"), F.col("_b.b").alias("b"), "shared")
+    if none:
+        return got
+    rows = cut(boxes.join(repeated, id_, "left_semi").withColumn("_r", F.monotonically_increasing_id()), "rows")
+    side = lambda k: rows.select(F.col("_r").alias(k), F.col(id_).alias(f"_{k}"), F.col(family).alias(f"_f{k}"))
+    single = box_overlaps(rows, "_r", cell).join(side("a"), "a").join(side("b"), "b").where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "shared", "_fa", "_fb")
+    both = got.unionByName(family_pairs(single, "a", "b", F.col("_fa"), F.col("_fb"), "shared"))
+    best = F.max_by(F.struct("a", "b", "shared"), F.struct(F.col("shared"), (-F.col("a")).alias("x"), (-F.col("b")).alias("y")))
+    return both.groupBy("first", "second").agg(F.sum("pairs").alias("pairs"), best.alias("_b")).select("first", "second", "pairs", "_b.a", "_b.b", "_b.shared")
+
+
 def overlap_class(shared: Column, area_a: Column, area_b: Column) -> Column:
     """nested where the smaller box lies within by nine tenths, partial from one tenth, else sliver."""
     share = shared / F.least(area_a, area_b)

@@ -318,10 +318,8 @@ SELECT first, second, count(*) AS pairs, arg_max(a, (shared, -a, -b)) AS a, arg_
 def overlap_families(t):
     """Overlaps by pair of brands, with the largest of each."""
     x, y = F.col("p_partkey") * 37 % 500, F.col("p_partkey") * 61 % 500
-    boxes = t("part").select(F.col("p_partkey").alias("id"), x.alias("minx"), y.alias("miny"), (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size")).alias("maxy"))
-    brand = lambda k: t("part").select(F.col("p_partkey").alias(k), F.col("p_brand").alias(f"brand_{k}"))
-    hit = geo.box_overlaps(boxes, "id", 50).join(brand("a"), "a").join(brand("b"), "b").withColumn("shared", F.col("shared").cast("bigint"))
-    return tables.family_pairs(hit, "a", "b", F.col("brand_a"), F.col("brand_b"), "shared")
+    boxes = t("part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), x.alias("minx"), y.alias("miny"), (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size")).alias("maxy"))
+    return geo.family_overlaps(boxes, "id", "brand", 50).withColumn("shared", F.col("shared").cast("bigint"))
 
 
 @query("""
