@@ -63,3 +63,24 @@ def test_pairs_of_one_shape_are_not_made_singly(spark):
     boxes = spark.range(60_000).select("id", *[F.lit(v).alias(k) for k, v in zip(("minx", "miny", "maxx", "maxy"), (1, 1, 5, 5))], brands.alias("brand"))
     got = {(r["first"], r["second"], r["pairs"], r["a"], r["b"], r["shared"]) for r in geo.family_overlaps(boxes, "id", "brand", 10).collect()}
     assert got == {("b0", "b1", 20_000**2, 0, 1, 16), ("b0", "b2", 20_000**2, 0, 2, 16), ("b1", "b2", 20_000**2, 1, 2, 16)}
+
+
+def test_overlaps_are_made_from_heaps_of_one_shape(spark, monkeypatch):
+    monkeypatch.setattr(geo, "HEAP", 4)
+    rows = [(i, i * 7 % 30, i * 11 % 30, i * 7 % 30 + i % 4 + 5, i * 11 % 30 + i % 4 + 5, "") for i in range(80)]
+    rows += [(i, 1, 2, 9, 9, "") for i in range(100, 109)] + [(101, 1, 2, 9, 9, ""), (102, 3, 3, 20, 20, ""), (7, 4, None, 9, 9, ""), (None, 1, 2, 9, 9, ""), (110, 5, 5, 5, 5, "")]
+    least = F.least("area_a", "area_b")
+    want = sorted((a[0], b[0], shared) for a, b, shared in overlaps([r for r in rows if None not in r]))
+    boxes = spark.createDataFrame(rows, BOX)
+    for held in (geo.HELD, 0):
+        monkeypatch.setattr(geo, "HELD", held)
+        got = geo.box_overlaps(boxes, "id", 10, {"least": least}).collect()
+        assert sorted((r["a"], r["b"], r["shared"]) for r in got) == want and all(r["shared"] <= r["least"] for r in got)
+
+
+def test_rows_of_overlaps_are_not_shuffled(spark):
+    boxes = spark.range(600).select("id", *[(F.col("id") % 2 + v).alias(k) for k, v in zip(("minx", "miny", "maxx", "maxy"), (1, 1, 5, 5))])
+    got = geo.box_overlaps(boxes, "id", 10)
+    assert len(got.collect()) == 600 * 599 // 2 and shuffled(got) < 600
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "explode(" in plan

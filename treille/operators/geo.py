@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from treille.operators.tables import family_pairs
-from treille.plans.lineage import cut
+from treille.plans.lineage import cut, spread
 
 EARTH_KM = 6371.0088
 
@@ -30,10 +30,12 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)) / 2
 
 
+HEAP = 4096  # ids of one row
+HELD = 1 << 22  # ids of a table that every executor holds; a larger one is joined by shuffle
 SHAPE = ["minx", "miny", "maxx", "maxy"]
 
 
-def box_overlaps(boxes: DataFrame, id_: str, cell: float) -> DataFrame:
+def _overlaps(boxes: DataFrame, id_: str, cell: float) -> DataFrame:
     """(a, b, shared, area_a, area_b): pairs of boxes that overlap, found through the grid cells they touch.
 
     A pair is reported by the cell that holds the lower left corner of its intersection,
@@ -53,11 +55,31 @@ def box_overlaps(boxes: DataFrame, id_: str, cell: float) -> DataFrame:
 
 
 def _with_itself(shapes: DataFrame, id_: str) -> DataFrame:
-    """Every shape that has an area as a pair with itself, in the columns of ``box_overlaps``."""
+    """Every shape that has an area as a pair with itself, in the columns of ``_overlaps``."""
     area = box_area(*[F.col(c) for c in SHAPE])
     return shapes.where(area.isNotNull()).select(F.col(id_).alias("a"), F.col(id_).alias("b"), area.alias("shared"), area.alias("area_a"), area.alias("area_b"))
 
 
+def box_overlaps(boxes: DataFrame, id_: str, cell: float, what: dict[str, Column] | None = None) -> DataFrame:
+    """(a, b, shared, and the columns of ``what``): pairs of boxes that overlap, the smaller id first.
+
+    ``what`` is made of ``shared`` and of ``area_a`` and ``area_b``, the areas of the two boxes in
+    any order. Boxes of one shape stand in heaps of at most ``HEAP``; heaps are compared, and
+    only what overlaps is made into pairs, so a row costs no comparison and no shuffle.
+    """
+    place = F.row_number().over(Window.partitionBy(*SHAPE).orderBy(id_)) - 1
+    heaps = boxes.where(F.col(id_).isNotNull()).select(*SHAPE, id_, F.floor(place / HEAP).alias("_c")).groupBy(*SHAPE, "_c").agg(F.collect_list(id_).alias("_ids"))
+    heaps = cut(heaps.withColumn("_u", F.monotonically_increasing_id()), "heaps")
+    light, ids = heaps.select("_u", *SHAPE), heaps.select("_u", "_ids")
+    held = heaps.agg(F.coalesce(F.sum(F.size("_ids") + 8), F.lit(0))).first()[0] <= HELD
+    ids = F.broadcast(ids) if held else ids
+    pairs = _overlaps(light, "_u", cell).union(_with_itself(light, "_u"))
+    pairs = spread(pairs.select("a", "b", "shared", *[c.alias(k) for k, c in (what or {}).items()]), 0)
+    pairs = pairs.join(ids.toDF("a", "_xs"), "a").join(ids.toDF("b", "_ys"), "b").withColumn("_x", F.explode("_xs")).withColumn("_y", F.explode("_ys"))
+    pairs = pairs.where((F.col("_x") < F.col("_y")) | ((F.col("a") != F.col("b")) & (F.col("_x") > F.col("_y"))))
+    return pairs.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), "shared", *(what or {}))
+
+
 def family_overlaps(boxes: DataFrame, id_: str, family: str, cell: float) -> DataFrame:
     """One row per pair of families whose boxes overlap: (first, second, pairs, a, b, shared), with the largest pair of it; pairs within a family are left out.
 
@@ -73,7 +95,7 @@ def family_overlaps(boxes: DataFrame, id_: str, family: str, cell: float) -> Dat
     groups = cut(flagged.groupBy(*SHAPE, F.col(family).alias("f"), "_d").agg(F.count("*").alias("n"), F.min(id_).alias("m")), "groups")
     shapes = cut(groups.select(*SHAPE).distinct().withColumn("g", F.monotonically_increasing_id()), "shapes")
     groups = cut(groups.join(shapes, SHAPE).select("g", "f", "_d", "n", "m"), "groups")
-    near = box_overlaps(shapes, "g", cell)
+    near = _overlaps(shapes, "g", cell)
     near = cut(near.select("a", "b", "shared").union(near.select("b", "a", "shared")).union(_with_itself(shapes, "g").select("a", "b", "shared")).toDF("g", "h", "shared"), "near")
     there = groups.select(F.col("g").alias("h"), F.col("f").alias("s"), F.col("_d").alias("_e"), F.col("n").alias("k"), F.col("m").alias("o"))
     apart = (F.col("f") < F.col("s")) & ~(F.col("_d") & F.col("_e"))
@@ -87,7 +109,7 @@ def family_overlaps(boxes: DataFrame, id_: str, family: str, cell: float) -> Dat
         return got
     rows = cut(boxes.join(repeated, id_, "left_semi").withColumn("_r", F.monotonically_increasing_id()), "rows")
     side = lambda k: rows.select(F.col("_r").alias(k), F.col(id_).alias(f"_{k}"), F.col(family).alias(f"_f{k}"))
-    single = box_overlaps(rows, "_r", cell).join(side("a"), "a").join(side("b"), "b").where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "shared", "_fa", "_fb")
+    single = _overlaps(rows, "_r", cell).join(side("a"), "a").join(side("b"), "b").where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "shared", "_fa", "_fb")
     both = got.unionByName(family_pairs(single, "a", "b", F.col("_fa"), F.col("_fb"), "shared"))
     best = F.max_by(F.struct("a", "b", "shared"), F.struct(F.col("shared"), (-F.col("a")).alias("x"), (-F.col("b")).alias("y")))
     return both.groupBy("first", "second").agg(F.sum("pairs").alias("pairs"), best.alias("_b")).select("first", "second", "pairs", "_b.a", "_b.b", "_b.shared")

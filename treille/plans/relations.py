@@ -248,9 +248,8 @@ def overlap_classify(t):
     """Overlapping boxes by a grid join, classed by the shared part of the smaller."""
     x, y = F.col("p_partkey") * 37 % 500, F.col("p_partkey") * 61 % 500
     boxes = t("part").select(F.col("p_partkey").alias("id"), x.alias("minx"), y.alias("miny"), (x + F.col("p_size")).alias("maxx"), (y + F.col("p_size")).alias("maxy"))
-    hit = geo.box_overlaps(boxes, "id", 50)
     share = F.when(F.col("shared") * 10 >= F.least("area_a", "area_b") * 9, "nested").when(F.col("shared") * 10 >= F.least("area_a", "area_b"), "partial").otherwise("sliver")
-    return hit.select("a", "b", F.col("shared").cast("bigint").alias("shared"), share.alias("class"))
+    return geo.box_overlaps(boxes, "id", 50, {"class": share}).withColumn("shared", F.col("shared").cast("bigint"))
 
 
 @query("""
